@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Tasks that share one partition's rows when adaptive execution is off.
-FIXED_SPREAD = 16
-
 
 def read_lake(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A parquet table under a known schema; partition columns come from folder names."""
@@ -22,8 +19,9 @@ def arrange(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
     With adaptive execution Spark splits partitions beyond
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and merges tiny ones, whatever share of the
-    rows one month holds. Otherwise each partition is spread over a fixed number of tasks by
-    the input split a row came from, which also spreads equal rows and is the same on a retry.
+    rows one month holds. Otherwise each partition is spread over all shuffle tasks by the input
+    split a row came from, which also spreads equal rows and is the same on a retry, but leaves
+    more and smaller files.
     """
     conf = df.sparkSession.conf
     if (
@@ -31,7 +29,7 @@ def arrange(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
         and conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true"
     ):
         return df.hint("rebalance", *partition_by)
-    spread = F.spark_partition_id() % FIXED_SPREAD
+    spread = F.spark_partition_id() % int(conf.get("spark.sql.shuffle.partitions"))
     return df.withColumn("_spread", spread).repartition(*partition_by, "_spread").drop("_spread")
 
 
@@ -55,16 +53,17 @@ def write_lake(
     """
     folders = list(partition_by)
     arranged = df if clustered else arrange(df, folders)
-    writing_options = {}
+    replaced = "static"
     if run_id is not None:
         arranged = arranged.withColumn("run_id", F.lit(run_id).cast("bigint"))
         folders = ["run_id", *folders]
         if mode == "append":
-            mode, writing_options = "overwrite", {"partitionOverwriteMode": "dynamic"}
+            mode, replaced = "overwrite", "dynamic"
     # Observed after the shuffle: adaptive execution drops the plan below an empty shuffle.
     seen = None
     if observe is not None:
         seen = Observation()
         arranged = arranged.observe(seen, observe.cast("string").alias("value"))
-    arranged.write.options(**writing_options).mode(mode).partitionBy(*folders).parquet(path)
+    writer = arranged.write.option("partitionOverwriteMode", replaced)
+    writer.mode(mode).partitionBy(*folders).parquet(path)
     return seen.get["value"] if seen else None

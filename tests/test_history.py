@@ -1,0 +1,111 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from larder.operators import history as runs
+from larder.schemas import RUN_HISTORY
+from larder.sources import shared
+from larder.sources.history_table import HistoryTable
+
+WHEN = datetime.datetime(2024, 1, 1)
+
+
+def row(id, name, skip="N", active="Y", full="N", mark="2013-03-28"):
+    return (id, name, skip, active, full, WHEN, "datePublished", mark, None, None)
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), RUN_HISTORY)
+
+
+def test_seed(spark):
+    (first,) = runs.seed(spark, "recipe-data").collect()
+    assert (first.id, first.etl_name, first.skip_execution, first.is_active) == (1, "recipe-data", "N", "Y")
+    assert (first.full_load, first.filter_col1_name, first.filter_col1_value) == ("Y", "datePublished", None)
+    assert runs.seed(spark, "x").schema.simpleString() == RUN_HISTORY.simpleString()
+
+
+def test_seed_goes_above_other_pipelines(spark, tmp_path):
+    history = HistoryTable(spark, str(tmp_path / "h"))
+    for name in ("a", "b", "a"):
+        history.seed(name)
+    assert sorted((r.id, r.etl_name) for r in history.read().collect()) == [(1, "a"), (2, "b")]
+
+
+def test_current_runs(spark):
+    history = frame(
+        spark, row(1, "a"), row(5, "a"), row(7, "a", active="N"), row(2, "b"), row(3, "c", active="N")
+    )
+    assert sorted((r.id, r.etl_name) for r in runs.current_runs(history).collect()) == [(2, "b"), (5, "a")]
+    assert [r.id for r in runs.current_runs(history, "a").collect()] == [5]
+    assert runs.current_runs(history, "c").collect() == []
+
+
+@pytest.mark.parametrize(
+    "skip, full, mark, mode",
+    [
+        ("Y", "Y", None, "skip"),
+        ("Y", "N", "2013-03-28", "skip"),
+        (None, "Y", None, "skip"),
+        ("N", "Y", None, "full"),
+        ("N", "Y", "2013-03-28", "full"),
+        ("N", "N", "2013-03-28", "delta"),
+        ("N", "N", None, "error"),
+        ("N", "N", "null", "error"),
+        ("N", "N", "None", "error"),
+        ("N", None, "2013-03-28", "error"),
+    ],
+)
+def test_load_mode(spark, skip, full, mark, mode):
+    history = frame(spark, row(1, "a", skip=skip, full=full, mark=mark))
+    assert history.select(runs.load_mode()).first()[0] == mode
+
+
+@pytest.fixture(params=[0, shared.BROADCAST_ROWS])
+def broadcast_rows(request, monkeypatch):
+    """Runs a test with a broadcast join and with a shuffled one."""
+    monkeypatch.setattr(shared.broadcast_if_small, "__defaults__", (request.param,))
+    return request.param
+
+
+def test_advance(spark, broadcast_rows):
+    history = frame(
+        spark, row(3, "a"), row(5, "b"), row(8, "c", mark=None, full="Y"), row(9, "d", full="Y"), row(10, "e")
+    )
+    loaded = (
+        F.when(F.col("etl_name") == "a", "2014-02-02").when(F.col("etl_name") == "d", "2014-03-03")
+    )
+    current = runs.current_runs(history).where(F.col("etl_name") != "e")
+    advanced = runs.advance(history, current.withColumn("new_watermark", loaded))
+    assert advanced.schema.simpleString() == RUN_HISTORY.simpleString()
+    rows = {r.id: (r.etl_name, r.is_active, r.full_load, r.filter_col1_value) for r in advanced.collect()}
+    assert rows == {
+        3: ("a", "N", "N", "2013-03-28"),
+        5: ("b", "N", "N", "2013-03-28"),
+        8: ("c", "N", "Y", None),
+        9: ("d", "N", "Y", "2013-03-28"),
+        10: ("e", "Y", "N", "2013-03-28"),
+        11: ("a", "Y", "N", "2014-02-02"),
+        13: ("b", "Y", "N", "2013-03-28"),
+        16: ("c", "Y", "Y", None),
+        17: ("d", "Y", "N", "2014-03-03"),
+    }
+
+
+def test_retire_broadcasts_only_what_was_counted(spark, broadcast_rows):
+    history = frame(spark, row(1, "a"), row(2, "a"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        retired = runs.retire(history, runs.current_runs(history))
+        plan = retired._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in plan) == (broadcast_rows > 0)
+    assert sorted((r.id, r.is_active) for r in retired.collect()) == [(1, "Y"), (2, "N")]
+
+
+def test_shared_folder_of_the_session_is_used(spark):
+    assert shared.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared.scratch_path(spark, "x") != shared.scratch_path(spark, "x")
