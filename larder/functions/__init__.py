@@ -2,7 +2,7 @@
 
 from larder.functions.buckets import first_match
 from larder.functions.dates import parse_date
-from larder.functions.durations import duration_minutes
+from larder.functions.durations import duration_minutes, total_minutes
 from larder.functions.lists import lines, mentions
 
-__all__ = ["duration_minutes", "first_match", "lines", "mentions", "parse_date"]
+__all__ = ["duration_minutes", "first_match", "lines", "mentions", "parse_date", "total_minutes"]

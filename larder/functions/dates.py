@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from larder.schemas import DATE_FORMAT
+# Fixed value: the shape of a yyyy-MM-dd date.
+DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
-def parse_date(text: Column | str, pattern: str = DATE_FORMAT) -> Column:
-    """The date written in ``text``, or NULL when it does not follow ``pattern`` exactly."""
-    return F.try_to_date(text, pattern)
+def parse_date(text: Column | str) -> Column:
+    """The date written in ``text`` as ``yyyy-MM-dd``, or NULL for anything else.
+
+    The cast alone would also take shorter dates and trailing text. Unlike ``try_to_date``, it
+    needs no exception inside to turn an impossible day into NULL.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    return F.when(column.rlike(DATE_SHAPE), column.try_cast("date"))

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import duration_minutes, first_match, lines, mentions, parse_date
+from larder.functions import (
+    duration_minutes,
+    first_match,
+    lines,
+    mentions,
+    parse_date,
+    total_minutes,
+)
 from larder.operators.rows import drop_missing, newer_than, with_year_month
 
 # The difficulty labels and their limits in minutes.
@@ -54,7 +61,7 @@ def aggregation_input(
     return recipes.select(
         "recipeName",
         mentions("ingredients_arr", term).alias(flag),
-        F.try_add("cookTimeMinutes", "prepTimeMinutes").alias("total_time"),
+        total_minutes("cookTimeMinutes", "prepTimeMinutes").alias("total_time"),
     ).withColumn("difficulty", difficulty("total_time"))
 
 

@@ -51,5 +51,3 @@ RUN_HISTORY = _nullable(
     filter_col2_name=T.StringType(),
     filter_col2_value=T.StringType(),
 )
-
-DATE_FORMAT = "yyyy-MM-dd"

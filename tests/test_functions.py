@@ -4,7 +4,14 @@ import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
-from larder.functions import duration_minutes, first_match, lines, mentions, parse_date
+from larder.functions import (
+    duration_minutes,
+    first_match,
+    lines,
+    mentions,
+    parse_date,
+    total_minutes,
+)
 from larder.operators.recipes import difficulty
 
 DURATIONS = {
@@ -99,6 +106,13 @@ def test_duration_is_one_codegen_span(spark):
     assert all(line.lstrip(" +-:").startswith("*(1)") for line in plan.strip().splitlines())
 
 
+def test_total_minutes(spark):
+    pairs = [(1, 2, 3), (None, 2, None), (1, None, None), (2**31 - 1, 0, 2**31 - 1)]
+    pairs += [(2**31 - 1, 1, None), (-(2**31), -1, None), (-(2**31), 0, -(2**31))]
+    frame = spark.createDataFrame(pairs, "a int, b int, expected int")
+    assert [r[0] for r in frame.select(total_minutes("a", "b")).collect()] == [p[2] for p in pairs]
+
+
 def test_mentions(spark):
     lists = [["A Beef x", None], [None, "pork"], [None], [], None, ["BEEFY"], ["be", "ef"], [None, "beef"]]
     frame = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, a array<string>")
@@ -118,9 +132,10 @@ def test_lines(spark):
 
 
 def test_parse_date(spark):
-    texts = ["2013-03-28", "oops", "2013-03-28x", "2013-3-8", "2013-02-30", "", None, " 2013-03-28"]
-    found = evaluate(spark, texts, parse_date("text").cast("string"))
-    assert found == ["2013-03-28"] + [None] * 7
+    wrong = ["oops", "2013-03-28x", "2013-3-8", "2013-02-30", "", None, " 2013-03-28", "2013-03-28 "]
+    wrong += ["2013-03-8 ", "2013-03-8T", "2013-03-28\n", "+2013-03-28", "12013-03-28", "2013", "20130328"]
+    found = evaluate(spark, ["2013-03-28", "2012-02-29", *wrong], parse_date("text").cast("string"))
+    assert found == ["2013-03-28", "2012-02-29"] + [None] * len(wrong)
 
 
 def test_difficulty_limits(spark):

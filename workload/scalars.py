@@ -78,7 +78,7 @@ def total_minutes(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        F.try_add(cook, F.col("l_partkey").cast("int")).alias("total"),
+        fn.total_minutes(cook, F.col("l_partkey").cast("int")).alias("total"),
     )
 
 
@@ -89,9 +89,10 @@ def difficulty_avg(spark, sf_dir):
     """Flagship: two duration texts, their total, its difficulty, the average per difficulty."""
     cook = fn.duration_minutes("duration")
     prep = fn.duration_minutes(F.concat(F.lit("PT"), F.col("l_linenumber") * 5, F.lit("M")))
-    timed = line_durations(table(spark, sf_dir, "lineitem")).select(
-        F.try_add(cook, prep).alias("total_time")
+    read = line_durations(table(spark, sf_dir, "lineitem")).select(
+        cook.alias("cook"), prep.alias("prep")
     )
+    timed = read.select(fn.total_minutes("cook", "prep").alias("total_time"))
     labelled = timed.withColumn("difficulty", difficulty("total_time"))
     return average_per(labelled, "difficulty", "total_time", "avg_total_cooking_time")
 
@@ -103,9 +104,10 @@ def difficulty_avg(spark, sf_dir):
 def difficulty_null_is_hard(spark, sf_dir):
     duration = F.when(F.col("l_linenumber") != 2, F.col("duration"))
     prep = F.concat(F.lit("PT"), F.col("l_linenumber") * 5, F.lit("M"))
-    timed = line_durations(table(spark, sf_dir, "lineitem")).select(
-        F.try_add(fn.duration_minutes(duration), fn.duration_minutes(prep)).alias("total_time")
+    read = line_durations(table(spark, sf_dir, "lineitem")).select(
+        fn.duration_minutes(duration).alias("cook"), fn.duration_minutes(prep).alias("prep")
     )
+    timed = read.select(fn.total_minutes("cook", "prep").alias("total_time"))
     return (
         timed.groupBy(difficulty("total_time").alias("difficulty"))
         .agg(
