@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,19 +17,14 @@ class HistoryTable:
         self.path = path
 
     def read(self) -> DataFrame:
-        """All rows; none if nothing was ever written."""
-        try:
-            return self.spark.read.schema(RUN_HISTORY).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], RUN_HISTORY)
+        return self.spark.read.schema(RUN_HISTORY).parquet(self.path)
 
     def append(self, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path)
 
     def seed(self, etl_name: str, watermark_column: str = "datePublished") -> None:
-        """Adds a first row for a pipeline that has no active one."""
+        """Adds a first row for a pipeline that has no active one, and the table if it is new."""
+        self.spark.createDataFrame([], RUN_HISTORY).write.mode("ignore").parquet(self.path)
         history = self.read()
         if not runs.active_runs(history, etl_name).isEmpty():
             return

@@ -199,8 +199,9 @@ def test_skipped_run_still_reports(spark, tmp_path, source):
 
 def test_no_active_run(spark, tmp_path, source, caplog):
     job = job_at(tmp_path, source)
+    HistoryTable(spark, job.history_path).seed("another pipeline")
     assert ingest_recipes(spark, job).mode == "skip"
-    control_row(spark, job, id=1, is_active="N")
+    control_row(spark, job, id=2, is_active="N")
     assert ingest_recipes(spark, job).mode == "skip"
     assert "no active run" in caplog.text
     assert not (tmp_path / "lake").exists()
