@@ -39,7 +39,7 @@ def history(spark, sf_dir):
         F.lit("datePublished").alias("filter_col1_name"),
         F.when(value < 30, "null")
         .when(value < 35, "None")
-        .when(value >= 40, F.date_format("ts", "yyyy-MM-dd"))
+        .when(value >= 40, F.to_date("ts").cast("string"))
         .alias("filter_col1_value"),
         F.lit(None).cast("string").alias("filter_col2_name"),
         F.lit(None).cast("string").alias("filter_col2_value"),

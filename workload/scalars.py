@@ -208,7 +208,7 @@ def date_parts(spark, sf_dir):
 
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS parsed FROM orders")
 def parse_date(spark, sf_dir):
-    text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.to_date("o_orderdate").cast("string")
     return table(spark, sf_dir, "orders").select("o_orderkey", fn.parse_date(text).alias("parsed"))
 
 
@@ -222,7 +222,7 @@ def parse_date_unreadable(spark, sf_dir):
         .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"))
         .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format("o_orderdate", "yyyy-MM-'45'"))
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_orderstatus"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.to_date("o_orderdate").cast("string"))
     )
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", fn.parse_date(text).alias("parsed"), F.year(fn.parse_date(text)).alias("year")
