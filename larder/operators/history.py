@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import parse_date
 from larder.schemas import RUN_HISTORY
-from larder.sources.shared import broadcast_if_small
+from larder.sources.shared import broadcast_if_small, computed_once
 
 
 def seed(
@@ -125,4 +125,5 @@ def follow_up(
 
 def advance(history: DataFrame, finished: DataFrame, run_date: Column | None = None) -> DataFrame:
     """The whole history after the runs in ``finished``: old rows retired, next rows added."""
+    finished = computed_once(finished)
     return retire(history, finished).unionByName(follow_up(history, finished, run_date))

@@ -24,9 +24,9 @@ class HistoryTable:
 
     def seed(self, etl_name: str, watermark_column: str = "datePublished") -> None:
         """Adds a first row for a pipeline that has no active one, and the table if it is new."""
-        self.spark.createDataFrame([], RUN_HISTORY).write.mode("ignore").parquet(self.path)
+        first = runs.seed(self.spark, etl_name, watermark_column)
+        first.write.mode("ignore").parquet(self.path)
         history = self.read()
-        if not runs.active_runs(history, etl_name).isEmpty():
-            return
-        next_id = history.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
-        self.append(runs.seed(self.spark, etl_name, watermark_column, next_id))
+        if runs.active_runs(history, etl_name).isEmpty():
+            next_id = history.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
+            self.append(runs.seed(self.spark, etl_name, watermark_column, next_id))

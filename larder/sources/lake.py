@@ -53,17 +53,17 @@ def write_lake(
     """
     folders = list(partition_by)
     arranged = df if clustered else arrange(df, folders)
-    replaced = "static"
-    if run_id is not None:
+    if run_id is not None and mode == "append":
+        path, mode = f"{path.rstrip('/')}/run_id={run_id}", "overwrite"
+    elif run_id is not None:
         arranged = arranged.withColumn("run_id", F.lit(run_id).cast("bigint"))
         folders = ["run_id", *folders]
-        if mode == "append":
-            mode, replaced = "overwrite", "dynamic"
     # Observed after the shuffle: adaptive execution drops the plan below an empty shuffle.
     seen = None
     if observe is not None:
         seen = Observation()
         arranged = arranged.observe(seen, observe.cast("string").alias("value"))
-    writer = arranged.write.option("partitionOverwriteMode", replaced)
+    # Static, so that overwriting replaces everything whatever the session's setting is.
+    writer = arranged.write.option("partitionOverwriteMode", "static")
     writer.mode(mode).partitionBy(*folders).parquet(path)
     return seen.get["value"] if seen else None

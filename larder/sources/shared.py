@@ -34,11 +34,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` stored in the shared folder, so that several uses do not compute it again."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` computed once, with a broadcast hint only if it has at most ``max_rows`` rows.
 
-    Larger frames come back without a hint, for Spark to shuffle.
+    For narrow rows such as ids. Larger frames come back without a hint, for Spark to shuffle.
     """
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint()
+    kept = computed_once(df)
     return F.broadcast(kept) if kept.count() <= max_rows else kept

@@ -33,6 +33,13 @@ def test_seed_goes_above_other_pipelines(spark, tmp_path):
     assert sorted((r.id, r.etl_name) for r in history.read().collect()) == [(1, "a"), (2, "b")]
 
 
+def test_seed_into_an_empty_table(spark, tmp_path):
+    history = HistoryTable(spark, str(tmp_path / "h"))
+    history.append(frame(spark))
+    history.seed("a")
+    assert [(r.id, r.etl_name) for r in history.read().collect()] == [(1, "a")]
+
+
 def test_current_runs(spark):
     history = frame(
         spark, row(1, "a"), row(5, "a"), row(7, "a", active="N"), row(2, "b"), row(3, "c", active="N")

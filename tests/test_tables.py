@@ -99,6 +99,11 @@ def test_rerun_replaces_only_its_own_rows(spark, tmp_path):
     for _ in range(2):
         write_lake(late, path, "append", run_id=2)
     assert read_lake(spark, path, rows.schema).count() == 90_000 + late.count()
+    # Nothing stays of an attempt that wrote other months, or of all runs after a full load.
+    write_lake(late.where("month = 3"), path, "append", run_id=2)
+    assert read_lake(spark, path, rows.schema).count() == 90_000 + late.where("month = 3").count()
+    write_lake(late, path, "overwrite", run_id=3)
+    assert read_lake(spark, path, rows.schema).count() == late.count()
 
 
 def test_dated_between_prunes_months(spark, tmp_path):

@@ -3,17 +3,11 @@
 from pyspark.sql import functions as F
 
 from larder.operators import recipes
-from larder.plans.recipes import (
-    RecipeJob,
-    ingest_recipes,
-    load_recipes,
-    report_recipes,
-    run_recipes,
-)
-from larder.schemas import CLEANSED_RECIPE, DIFFICULTY_REPORT, RAW_RECIPE
+from larder.plans.recipes import RecipeJob, ingest_recipes, load_recipes, run_recipes
+from larder.schemas import CLEANSED_RECIPE, DIFFICULTY_REPORT
 from larder.sources.csv_report import read_csv_report
 from larder.sources.history_table import HistoryTable
-from larder.sources.lake import read_lake, write_lake
+from larder.sources.lake import read_lake
 from larder.sources.shared import scratch_path
 from workload.registry import query, table
 
@@ -25,7 +19,8 @@ CLEANSED_SQL = r"""raw AS (SELECT *, n_chars % 1500 AS days, n_chars % 60 AS odd
         CAST(source = 'src2' AS BOOLEAN) AS undated FROM documents),
     cleansed AS (SELECT CASE WHEN source = 'src1' THEN '' ELSE source || '-' || doc_id END AS recipeName,
         CASE WHEN NOT undated THEN DATE '2010-01-01' + CAST(days AS INTEGER) END AS datePublished,
-        CAST(CASE WHEN source IN ('src3', 'src4') THEN NULL ELSE n_chars % 3 * 60 + odd END AS INTEGER) AS cookTimeMinutes,
+        CAST(CASE WHEN source IN ('src3', 'src4') THEN NULL ELSE n_chars % 3 * 60 + odd END AS INTEGER)
+            AS cookTimeMinutes,
         CAST(CASE WHEN source = 'src5' THEN 0 ELSE doc_id % 40 END AS INTEGER) AS prepTimeMinutes,
         lang AS description, 'https://img.example.com/' || doc_id AS image,
         CAST(n_chars % 12 AS VARCHAR) AS recipeYield, CAST(NULL AS VARCHAR) AS url,
@@ -37,8 +32,8 @@ CLEANSED_SQL = r"""raw AS (SELECT *, n_chars % 1500 AS days, n_chars % 60 AS odd
         CAST(coalesce(len(list_filter(ingredients_arr, lambda x: contains(lower(x), 'license'))) > 0, false)
             AS INTEGER) AS mentions_term
     FROM cleansed)"""
-FLAT_SQL = """SELECT recipeName, datePublished, cookTimeMinutes, prepTimeMinutes, description, image, recipeYield,
-        url, array_to_string(ingredients_arr, '|') AS ingredients,
+FLAT_SQL = """SELECT recipeName, datePublished, cookTimeMinutes, prepTimeMinutes, description, image,
+        recipeYield, url, array_to_string(ingredients_arr, '|') AS ingredients,
         CAST(year(datePublished) AS INTEGER) AS "year", CAST(month(datePublished) AS INTEGER) AS "month" FROM cleansed"""
 REPORT_SQL = """SELECT difficulty, CAST(round(avg(total_time)) AS DOUBLE) AS avg_total_cooking_time
     FROM prepared GROUP BY difficulty"""
@@ -118,8 +113,8 @@ def cleanse_delta(spark, sf_dir):
     return flat(load_recipes(spark, recipe_files(spark, sf_dir), BATCH_END))
 
 
-@query(f"""WITH {CLEANSED_SQL} SELECT recipeName, mentions_term AS is_beef_recipe, CAST(total_time AS INTEGER) AS total_time,
-    difficulty FROM prepared""")
+@query(f"""WITH {CLEANSED_SQL} SELECT recipeName, mentions_term AS is_beef_recipe,
+        CAST(total_time AS INTEGER) AS total_time, difficulty FROM prepared""")
 def aggregation_input(spark, sf_dir):
     stored = load_recipes(spark, recipe_files(spark, sf_dir))
     return recipes.aggregation_input(stored, TERM)

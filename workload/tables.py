@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.operators.recipes import average_per, difficulty
-from larder.operators.rows import dated_between, with_year_month
+from larder.operators.rows import dated_between, newer_than, with_year_month
+from larder.plans.ingest import ingest
 from larder.schemas import DIFFICULTY_REPORT
 from larder.sources.csv_report import read_csv_report, write_csv_report
+from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import line_counts, read_json_lines
 from larder.sources.lake import read_lake, write_lake
 from larder.sources.shared import scratch_path
@@ -157,3 +159,22 @@ def csv_report_single_file(spark, sf_dir):
     report = average_per(labelled, "difficulty", "minutes", "avg_total_cooking_time")
     write_csv_report(report, path, single_file=True)
     return read_csv_report(spark, path, DIFFICULTY_REPORT)
+
+
+@query(MONTHLY_SQL)
+def ingest_other_table(spark, sf_dir):
+    """The ingestion of any table: orders up to a date in full, the others as a delta."""
+    orders = orders_by_month(spark, sf_dir)
+    folder = scratch_path(spark, "orders")
+    history = HistoryTable(spark, f"{folder}/history")
+    history.seed("orders", "order_date")
+    early = orders.where(F.col("order_date") <= F.lit("1999-12-15").cast("date"))
+    for arrived in (early, orders):
+        ingest(
+            history,
+            "orders",
+            lambda mark: newer_than(arrived, "order_date", mark),
+            f"{folder}/lake",
+            watermark_column="order_date",
+        )
+    return read_lake(spark, f"{folder}/lake", orders.schema)
