@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fewest shuffle partitions for arranging a table: above the number of months it usually holds, so
+# that they rarely share one. Adaptive execution merges the small ones.
+MONTHS_APART = 512
+
 
 def read_lake(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A parquet table under a known schema; partition columns come from folder names."""
@@ -24,12 +28,13 @@ def arrange(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     more and smaller files.
     """
     conf = df.sparkSession.conf
+    shuffled = int(conf.get("spark.sql.shuffle.partitions"))
     if (
         conf.get("spark.sql.adaptive.enabled") == "true"
         and conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled") == "true"
     ):
-        return df.hint("rebalance", *partition_by)
-    spread = F.spark_partition_id() % int(conf.get("spark.sql.shuffle.partitions"))
+        return df.hint("rebalance", max(shuffled, MONTHS_APART), *partition_by)
+    spread = F.spark_partition_id() % shuffled
     return df.withColumn("_spread", spread).repartition(*partition_by, "_spread").drop("_spread")
 
 

@@ -45,7 +45,7 @@ def files_of(path, year, month):
 @pytest.mark.parametrize("copies", [False, True])
 def test_hot_month_is_split(spark, tmp_path, conf, copies):
     # Copies shrink when compressed, and it is the compressed size that counts.
-    size = "20k" if copies else "200k"
+    size = "2k" if copies else "200k"
     conf(adaptive__advisoryPartitionSizeInBytes=size, shuffle__partitions="64")
     rows = skewed(spark, copies)
     path = str(tmp_path / "t")
