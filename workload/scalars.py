@@ -12,7 +12,7 @@ TERM = "license"
 
 
 def line_durations(lineitem):
-    """Duration texts of all four shapes from the line number and the quantity."""
+    """Duration texts of all four shapes from the line number and the quantity, and one of minutes."""
     number = F.col("l_linenumber").cast("string")
     quantity = F.col("l_quantity").cast("int").cast("string")
     text = (
@@ -21,7 +21,8 @@ def line_durations(lineitem):
         .when(F.col("l_linenumber") == 1, F.concat(F.lit("PT"), quantity, F.lit("M")))
         .otherwise(F.concat(F.lit("PT"), number, F.lit("H"), quantity, F.lit("M")))
     )
-    return lineitem.withColumn("duration", text)
+    prep = F.concat(F.lit("PT"), F.col("l_linenumber") * 5, F.lit("M"))
+    return lineitem.withColumns({"duration": text, "prep_duration": prep})
 
 
 LINE_MINUTES = """CASE WHEN l_linenumber = 7 THEN 0
@@ -87,10 +88,9 @@ def total_minutes(spark, sf_dir):
     FROM (SELECT {LINE_MINUTES} + l_linenumber * 5 AS t FROM lineitem) GROUP BY 1""")
 def difficulty_avg(spark, sf_dir):
     """Flagship: two duration texts, their total, its difficulty, the average per difficulty."""
-    cook = fn.duration_minutes("duration")
-    prep = fn.duration_minutes(F.concat(F.lit("PT"), F.col("l_linenumber") * 5, F.lit("M")))
     read = line_durations(table(spark, sf_dir, "lineitem")).select(
-        cook.alias("cook"), prep.alias("prep")
+        fn.duration_minutes("duration").alias("cook"),
+        fn.duration_minutes("prep_duration").alias("prep"),
     )
     timed = read.select(fn.total_minutes("cook", "prep").alias("total_time"))
     labelled = timed.withColumn("difficulty", difficulty("total_time"))
@@ -102,10 +102,11 @@ def difficulty_avg(spark, sf_dir):
     FROM (SELECT CASE WHEN l_linenumber <> 2 THEN {LINE_MINUTES} + l_linenumber * 5 END AS t
         FROM lineitem) GROUP BY 1""")
 def difficulty_null_is_hard(spark, sf_dir):
-    duration = F.when(F.col("l_linenumber") != 2, F.col("duration"))
-    prep = F.concat(F.lit("PT"), F.col("l_linenumber") * 5, F.lit("M"))
-    read = line_durations(table(spark, sf_dir, "lineitem")).select(
-        fn.duration_minutes(duration).alias("cook"), fn.duration_minutes(prep).alias("prep")
+    known = F.when(F.col("l_linenumber") != 2, F.col("duration"))
+    texts = line_durations(table(spark, sf_dir, "lineitem")).withColumn("duration", known)
+    read = texts.select(
+        fn.duration_minutes("duration").alias("cook"),
+        fn.duration_minutes("prep_duration").alias("prep"),
     )
     timed = read.select(fn.total_minutes("cook", "prep").alias("total_time"))
     return (
