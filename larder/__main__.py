@@ -24,6 +24,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lookback-days", type=int, default=0)
     parser.add_argument("--stage-by-run", action="store_true", help="make repeated attempts safe")
     parser.add_argument("--clustered", action="store_true", help="input already arrives by month")
+    parser.add_argument(
+        "--reader-option",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="option of Spark's JSON reader, such as modifiedAfter=2024-01-31T00:00:00",
+    )
     parser.add_argument("--seed", action="store_true", help="add a first run if there is none")
     return parser.parse_args(arguments)
 
@@ -45,6 +52,7 @@ def main(arguments: list[str] | None = None) -> None:
         lookback_days=options.lookback_days,
         stage_by_run=options.stage_by_run,
         clustered=options.clustered,
+        reader_options=dict(option.split("=", 1) for option in options.reader_option),
     )
     ingested, names = run_recipes(spark, job)
     logging.getLogger("larder").info("%s", ingested)

@@ -93,15 +93,16 @@ def follow_up(
     """The next history row of every run in ``finished``.
 
     ``finished`` holds history rows plus ``new_watermark``, the largest date the run loaded. A
-    delta that loaded nothing keeps the old watermark; without any watermark the next load is a
-    full one again.
+    delta never moves the watermark back and keeps it when it loaded nothing; without any
+    watermark the next load is a full one again.
 
     New ids are the finished ids moved up by one common distance, so that the lowest lands just
     above all ids in use: unique, with no numbering pass over all pipelines.
     """
     highest = history.select(F.max("id")).scalar()
     lowest = finished.select(F.min("id")).scalar()
-    mark = F.coalesce(
+    # greatest() leaves NULLs out.
+    mark = F.greatest(
         F.col("new_watermark").cast("date"),
         F.when(F.col("full_load") == "N", stored_watermark()),
     )

@@ -57,15 +57,16 @@ def ingest(
     if run.load_mode == "error":
         raise ValueError(f"run {run.id} of {etl_name} asks for a delta but stores no watermark")
 
-    full = run.load_mode == "full"
+    start = None if run.load_mode == "full" else run.stored_watermark
     loaded = write_lake(
-        load(None if full else run.stored_watermark),
+        load(start),
         lake_path,
-        "overwrite" if full else "append",
+        "overwrite" if start is None else "append",
         run_id=run.id if stage_by_run else None,
         clustered=clustered,
         observe=F.max(watermark_column),
     )
     finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
     history.append(runs.follow_up(table, finished))
-    return Ingested(run.load_mode, run.id, loaded or (None if full else run.stored_watermark))
+    marks = [mark for mark in (start, loaded) if mark is not None]
+    return Ingested(run.load_mode, run.id, max(marks, default=None))

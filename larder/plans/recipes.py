@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,11 @@ from larder.sources.lake import read_lake
 
 @dataclass(frozen=True)
 class RecipeJob:
-    """Where a job reads and writes, and what it looks for. Path prefixes pick file systems."""
+    """Where a job reads and writes, and what it looks for. Path prefixes pick file systems.
+
+    ``reader_options`` go to Spark's JSON reader. With ``modifiedAfter`` a delta leaves old files
+    unread; otherwise it reads all input again to find the new rows.
+    """
 
     input_path: str
     lake_path: str
@@ -29,13 +34,18 @@ class RecipeJob:
     lookback_days: int = 0
     stage_by_run: bool = False
     clustered: bool = False
+    reader_options: Mapping[str, str] = field(default_factory=dict)
 
 
 def load_recipes(
-    spark: SparkSession, path: str | list[str], watermark: str | None = None, lookback_days: int = 0
+    spark: SparkSession,
+    path: str | list[str],
+    watermark: str | None = None,
+    lookback_days: int = 0,
+    **reader_options: str,
 ) -> DataFrame:
     """Recipe files read and cleansed."""
-    raw = read_json_lines(spark, path, RAW_RECIPE)
+    raw = read_json_lines(spark, path, RAW_RECIPE, **reader_options)
     return recipes.cleanse(raw, watermark, lookback_days)
 
 
@@ -44,7 +54,9 @@ def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
     return ingest(
         HistoryTable(spark, job.history_path),
         job.etl_name,
-        lambda mark: load_recipes(spark, job.input_path, mark, job.lookback_days),
+        lambda mark: load_recipes(
+            spark, job.input_path, mark, job.lookback_days, **job.reader_options
+        ),
         job.lake_path,
         stage_by_run=job.stage_by_run,
         clustered=job.clustered,

@@ -1,4 +1,5 @@
 import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +117,10 @@ def test_shared_folder_of_the_session_is_used(spark):
     assert shared.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert shared.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared.scratch_path(spark, "x") != shared.scratch_path(spark, "x")
+
+
+def test_cluster_sessions_have_to_name_the_folder():
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf={})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(session)

@@ -2,6 +2,8 @@
 
 import datetime
 import json
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -272,9 +274,23 @@ def test_report_reads_only_what_it_needs(spark, tmp_path, source):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_old_files_left_unread(spark, tmp_path, source):
+    """The watermark does not move back when a delta with a lookback sees only older rows."""
+    job = job_at(tmp_path, source)
+    HistoryTable(spark, job.history_path).seed(job.etl_name)
+    ingest_recipes(spark, job)
+    write_lines(tmp_path / "input", "recipes-001.json", [recipe("Late", "2013-03-25")])
+    os.utime(tmp_path / "input" / "recipes-000.json", (0, 0))
+    options = {"modifiedAfter": "2001-01-01T00:00:00"}
+    done = ingest_recipes(spark, replace(job, lookback_days=7, reader_options=options))
+    assert (done.mode, done.watermark) == ("delta", "2013-03-28")
+    assert len(stored_names(spark, job)) == 13
+    assert history_rows(spark, job)[-1] == (3, "N", "2013-03-28")
+
+
 def test_command_line(spark, tmp_path, source, capfd):
     main(
-        ["--input", source, "--lake", str(tmp_path / "lake"), "--report", str(tmp_path / "report")]
+        ["--input", source, "--reader-option", "modifiedAfter=2001-01-01T00:00:00", "--lake", str(tmp_path / "lake"), "--report", str(tmp_path / "report")]
         + ["--history", str(tmp_path / "history"), "--seed", "--mentions", str(tmp_path / "names")]
     )
     assert len(list((tmp_path / "report").glob("part-*.csv"))) == 1
