@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from workload import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -40,7 +41,7 @@ def in_order(rows):
     return sorted(rows, key=lambda row: [(value is None, str(value)) for value in row])
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
     result = driver.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)
@@ -63,4 +64,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert QUERIES.keys() <= driver.oracle_sql().keys()
