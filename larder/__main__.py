@@ -22,6 +22,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--term", default="beef")
     parser.add_argument("--mentions", help="folder for all names mentioning the term")
     parser.add_argument("--lookback-days", type=int, default=0)
+    parser.add_argument("--strict-durations", action="store_true", help="fail on unreadable durations")
+    parser.add_argument("--new-files-only", action="store_true", help="files never change once they are there")
     parser.add_argument("--stage-by-run", action="store_true", help="make repeated attempts safe")
     parser.add_argument("--clustered", action="store_true", help="input already arrives by month")
     parser.add_argument(
@@ -38,6 +40,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 def main(arguments: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     options = parse(arguments)
+    own = SparkSession.getActiveSession() is None
     spark = SparkSession.builder.appName("larder").getOrCreate()
     if options.seed:
         HistoryTable(spark, options.history).seed(options.etl_name)
@@ -52,11 +55,15 @@ def main(arguments: list[str] | None = None) -> None:
         lookback_days=options.lookback_days,
         stage_by_run=options.stage_by_run,
         clustered=options.clustered,
+        strict_durations=options.strict_durations,
+        new_files_only=options.new_files_only,
         reader_options=dict(option.split("=", 1) for option in options.reader_option),
     )
     ingested, names = run_recipes(spark, job)
     logging.getLogger("larder").info("%s", ingested)
     preview(names).show(60, truncate=False)
+    if own:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -6,9 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What a readable duration looks like. The first PT comes before the first H or M,
-# and whole numbers stand between PT and H, H and M, or PT and M.
+# and whole numbers stand between PT and H, H and M, or PT and M. The first repeat is possessive,
+# because a backtracking one takes stack for every change of character width.
 NUMBER = r"\s*[+-]?[0-9]+\s*"
-READABLE = rf"^(?:(?!PT)[^HM])*PT{NUMBER}(?:H(?:{NUMBER}M|[^M]*$)|M[^H]*$)"
+READABLE = rf"^(?:(?!PT)[^HM])*+PT{NUMBER}(?:H(?:{NUMBER}M|[^M]*$)|M[^H]*$)"
 
 SMALLEST_INT, LARGEST_INT = -(2**31), 2**31 - 1
 

@@ -2,7 +2,8 @@
 
 Every operator works on all pipelines of a history table at once. A pipeline's current run is its
 active row with the highest id, so recording a run only needs new rows; marking the old row
-inactive as well (``retire``) is for tables that other readers query.
+inactive as well (``retire``) is for tables that other readers query. A row's key is ``(etl_name, id)``:
+ids are counted within a pipeline, so pipelines that run at the same time cannot meet.
 """
 
 from __future__ import annotations
@@ -15,6 +16,11 @@ from larder.schemas import RUN_HISTORY
 from larder.sources.shared import broadcast_if_small, computed_once
 
 
+# How Spark writes dates and timestamps.
+MARK_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+MARK_MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?\z"
+
+
 def seed(
     spark: SparkSession, etl_name: str, watermark_column: str = "datePublished", run_id: int = 1
 ) -> DataFrame:
@@ -47,20 +53,23 @@ def active_runs(history: DataFrame, etl_name: str | None = None) -> DataFrame:
 def current_runs(history: DataFrame, etl_name: str | None = None) -> DataFrame:
     """The active row with the highest id of every pipeline.
 
-    Aggregated map-side first, so a pipeline with very many rows sends one row per task.
+    The highest ids are aggregated map-side first, without sorting, and then joined back.
     """
-    run = F.struct(*history.columns)
-    return (
-        active_runs(history, etl_name)
-        .groupBy("etl_name")
-        .agg(F.max_by(run, "id").alias("run"))
-        .select("run.*")
-    )
+    active = active_runs(history, etl_name)
+    highest = active.groupBy(F.col("etl_name").alias("name")).agg(F.max("id").alias("highest"))
+    current = F.col("etl_name").eqNullSafe(F.col("name")) & (F.col("id") == F.col("highest"))
+    return active.join(highest, current).select(*history.columns)
 
 
 def stored_watermark() -> Column:
-    """The date a history row stores. ``'null'``, ``'None'`` and other text count as no date."""
-    return parse_date("filter_col1_value")
+    """The mark a history row stores, as text: a date, or a timestamp that is written out to the second at least.
+
+    ``'null'``, ``'None'`` and other text count as no mark. Marks of one column sort as text.
+    """
+    text = F.col("filter_col1_value")
+    date = F.when(text.rlike(MARK_DATE), parse_date(text).cast("string"))
+    moment = F.when(text.rlike(MARK_MOMENT) & text.try_cast("timestamp_ntz").isNotNull(), text)
+    return F.coalesce(date, moment)
 
 
 def load_mode() -> Column:
@@ -73,15 +82,20 @@ def load_mode() -> Column:
     )
 
 
-def retire(history: DataFrame, finished: DataFrame) -> DataFrame:
-    """The history with the runs in ``finished`` (one row per ``id``) set inactive.
+def retire(history: DataFrame, finished: DataFrame, stored: bool = False) -> DataFrame:
+    """The history with the runs in ``finished`` (one row per ``etl_name`` and ``id``) set inactive.
 
     ``finished`` is counted first: while it is small the history is not shuffled for the join.
+    ``stored`` says that it was computed once already.
     """
-    done = broadcast_if_small(finished.select(F.col("id").alias("done_id")))
+    if not stored:
+        finished = computed_once(finished)
+    keys = finished.select(F.col("etl_name").alias("done_name"), F.col("id").alias("done_id"))
+    done = broadcast_if_small(keys, stored=True)
+    same = (F.col("id") == F.col("done_id")) & F.col("etl_name").eqNullSafe(F.col("done_name"))
     active = F.when(F.col("done_id").isNotNull(), "N").otherwise(F.col("is_active"))
     return (
-        history.join(done, F.col("id") == F.col("done_id"), "left")
+        history.join(done, same, "left")
         .withColumn("is_active", active)
         .select(*history.columns)
     )
@@ -96,27 +110,27 @@ def follow_up(
     delta never moves the watermark back and keeps it when it loaded nothing; without any
     watermark the next load is a full one again.
 
-    New ids are the finished ids moved up by one common distance, so that the lowest lands just
-    above all ids in use: unique, with no numbering pass over all pipelines.
+    The new id is one above the pipeline's highest; only pipelines in ``finished`` are looked up, and
+    ``finished`` holds one run of each.
     """
-    highest = history.select(F.max("id")).scalar()
-    lowest = finished.select(F.min("id")).scalar()
+    highest = history.groupBy(F.col("etl_name").alias("name")).agg(F.max("id").alias("highest"))
+    named = finished.join(highest, F.col("etl_name").eqNullSafe(F.col("name")))
     # greatest() leaves NULLs out.
     mark = F.greatest(
-        F.col("new_watermark").cast("date"),
+        F.col("new_watermark").cast("string"),
         F.when(F.col("full_load") == "N", stored_watermark()),
     )
     values = {
-        "id": F.col("id") + highest - lowest + 1,
+        "id": F.col("highest") + 1,
         "skip_execution": F.lit("N"),
         "is_active": F.lit("Y"),
         "full_load": F.when(mark.isNull(), "Y").otherwise("N"),
         "run_date": F.current_timestamp() if run_date is None else run_date,
-        "filter_col1_value": mark.cast("string"),
+        "filter_col1_value": mark,
         "filter_col2_name": F.lit(None),
         "filter_col2_value": F.lit(None),
     }
-    return finished.select(
+    return named.select(
         *[
             values.get(field.name, F.col(field.name)).cast(field.dataType).alias(field.name)
             for field in history.schema
@@ -127,4 +141,4 @@ def follow_up(
 def advance(history: DataFrame, finished: DataFrame, run_date: Column | None = None) -> DataFrame:
     """The whole history after the runs in ``finished``: old rows retired, next rows added."""
     finished = computed_once(finished)
-    return retire(history, finished).unionByName(follow_up(history, finished, run_date))
+    return retire(history, finished, stored=True).unionByName(follow_up(history, finished, run_date))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
@@ -16,14 +17,18 @@ def newer_than(
 ) -> DataFrame:
     """Rows dated strictly after ``watermark``; all rows when there is none.
 
-    Rows without a date are never newer than a watermark. ``lookback_days`` moves the mark back
-    so that late rows are seen again; the caller then has to cope with rows it already loaded.
+    A timestamp column is compared with the whole mark, any other with the mark's date. Rows without a
+    date are never newer than a watermark. ``lookback_days`` moves the mark back so that late rows are seen
+    again; the caller then has to cope with rows it already loaded (``ingest`` replaces them).
     """
     if watermark is None:
         return df
-    mark = (F.lit(watermark) if isinstance(watermark, str) else watermark).cast("date")
+    kind = df.schema[column].dataType
+    timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+    mark = F.lit(watermark) if isinstance(watermark, str) else watermark
+    mark = mark.cast(kind if timed else T.DateType())
     if lookback_days:
-        mark = F.date_sub(mark, lookback_days)
+        mark = mark - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
     return df.where(F.col(column) > mark)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,19 +34,32 @@ def ingest(
     watermark_column: str = "datePublished",
     stage_by_run: bool = False,
     clustered: bool = False,
+    lookback_days: int = 0,
+    load_new: Callable[[str, datetime], DataFrame] | None = None,
 ) -> Ingested:
     """Runs a pipeline once.
 
-    ``load`` gives the rows newer than a watermark, or all rows for None. The largest date is
-    taken while the rows are written, so it belongs to exactly those rows. One added history row
-    records the run; if the job dies before it, the next attempt loads the same rows again, and
-    ``stage_by_run`` makes it replace what the first one wrote.
+    ``load`` gives the rows newer than a watermark, or all rows for None. The largest date (or
+    timestamp, by the type of ``watermark_column``) is taken while the rows are written, so it belongs to exactly
+    those rows. One added history row records the run, dated when it began, before any file was listed; if the job
+    dies before it, the next attempt loads the same rows again, and ``stage_by_run`` makes it replace what the
+    first one wrote.
+
+    With ``lookback_days`` a delta loads whole months, from the one that many days before the mark, and
+    replaces those months of the table, so that late rows get in and none comes twice. This is complete
+    while the input still holds those months. It goes with neither ``stage_by_run`` nor ``load_new``.
+
+    A delta calls ``load_new`` instead of ``load`` if given, with the mark and the start of the run before,
+    so that older files can stay unread.
     """
+    if lookback_days and (stage_by_run or load_new):
+        raise ValueError("a lookback replaces months, for which it needs all input and no run folders")
+    began = datetime.now(timezone.utc)
     table = history.read()
     current = (
         runs.current_runs(table, etl_name)
         .withColumn("load_mode", runs.load_mode())
-        .withColumn("stored_watermark", runs.stored_watermark().cast("string"))
+        .withColumn("stored_watermark", runs.stored_watermark())
     )
     run = current.first()
     if run is None:
@@ -56,17 +70,34 @@ def ingest(
         return Ingested("skip", run.id, run.stored_watermark)
     if run.load_mode == "error":
         raise ValueError(f"run {run.id} of {etl_name} asks for a delta but stores no watermark")
+    if run.filter_col1_name not in (None, watermark_column):
+        raise ValueError(f"run {run.id} of {etl_name} marks {run.filter_col1_name}, not {watermark_column}")
 
     start = None if run.load_mode == "full" else run.stored_watermark
+    if start is None:
+        rows, mode = load(None), "overwrite"
+    elif lookback_days:
+        rows, mode = load(before_month(start, lookback_days)), "replace"
+    elif load_new:
+        rows, mode = load_new(start, run.run_date), "append"
+    else:
+        rows, mode = load(start), "append"
     loaded = write_lake(
-        load(start),
+        rows,
         lake_path,
-        "overwrite" if start is None else "append",
+        mode,
         run_id=run.id if stage_by_run else None,
         clustered=clustered,
         observe=F.max(watermark_column),
     )
     finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
-    history.append(runs.follow_up(table, finished))
+    history.append(runs.follow_up(table, finished, F.lit(began).cast("timestamp")))
     marks = [mark for mark in (start, loaded) if mark is not None]
     return Ingested(run.load_mode, run.id, max(marks, default=None))
+
+
+def before_month(mark: str, lookback_days: int) -> str:
+    """The last moment before the month that holds the day ``lookback_days`` before ``mark``."""
+    first = (date.fromisoformat(mark[:10]) - timedelta(days=lookback_days)).replace(day=1)
+    last = datetime.combine(first, datetime.min.time()) - timedelta(microseconds=1)
+    return last.isoformat(sep=" ") if len(mark) > 10 else last.date().isoformat()

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators import recipes
 from larder.plans.ingest import Ingested, ingest
 from larder.schemas import CLEANSED_RECIPE, RAW_RECIPE
-from larder.sources.csv_report import write_csv_report
+from larder.sources.csv_report import read_csv_report, write_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import read_json_lines
 from larder.sources.lake import read_lake
@@ -20,8 +21,10 @@ from larder.sources.lake import read_lake
 class RecipeJob:
     """Where a job reads and writes, and what it looks for. Path prefixes pick file systems.
 
-    ``reader_options`` go to Spark's JSON reader. With ``modifiedAfter`` a delta leaves old files
-    unread; otherwise it reads all input again to find the new rows.
+    ``reader_options`` go to Spark's JSON reader. ``new_files_only`` is for folders whose files never
+    change once they are there: a delta then leaves files unread that are older than the start of the run
+    before it; otherwise it reads all input again to find the new rows. ``strict_durations`` fails the job
+    on a duration that cannot be read.
     """
 
     input_path: str
@@ -35,6 +38,8 @@ class RecipeJob:
     stage_by_run: bool = False
     clustered: bool = False
     reader_options: Mapping[str, str] = field(default_factory=dict)
+    new_files_only: bool = False
+    strict_durations: bool = False
 
 
 def load_recipes(
@@ -42,36 +47,50 @@ def load_recipes(
     path: str | list[str],
     watermark: str | None = None,
     lookback_days: int = 0,
+    strict_durations: bool = False,
     **reader_options: str,
 ) -> DataFrame:
     """Recipe files read and cleansed."""
     raw = read_json_lines(spark, path, RAW_RECIPE, **reader_options)
-    return recipes.cleanse(raw, watermark, lookback_days)
+    return recipes.cleanse(raw, watermark, lookback_days, strict_durations)
 
 
 def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
     """Loads the recipe table as its run history asks."""
+    if job.lookback_days and "modifiedAfter" in job.reader_options:
+        raise ValueError("a lookback replaces months, for which it needs all input files")
+
+    def load(mark: str | None, **more: str) -> DataFrame:
+        options = {**job.reader_options, **more}
+        return load_recipes(spark, job.input_path, mark, strict_durations=job.strict_durations, **options)
+
+    def load_new(mark: str, since: datetime) -> DataFrame:
+        # Run dates come back in the zone of this process; a second less, as files are dated coarsely.
+        after = since.astimezone(timezone.utc) - timedelta(seconds=1)
+        return load(mark, modifiedAfter=after.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC")
+
     return ingest(
         HistoryTable(spark, job.history_path),
         job.etl_name,
-        lambda mark: load_recipes(
-            spark, job.input_path, mark, job.lookback_days, **job.reader_options
-        ),
+        load,
         job.lake_path,
         stage_by_run=job.stage_by_run,
         clustered=job.clustered,
+        lookback_days=job.lookback_days,
+        load_new=load_new if job.new_files_only else None,
     )
 
 
 def report_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
     """Writes the average time per difficulty as one CSV file; returns the names mentioning the term.
 
-    The names are left for the caller to show, or written to ``mentions_path`` in full.
+    The names are left for the caller to show, or written to ``mentions_path`` in full and returned from there.
     """
     stored = read_lake(spark, job.lake_path, CLEANSED_RECIPE)
     names = recipes.mentioning(stored, job.term)
     if job.mentions_path:
         write_csv_report(names, job.mentions_path)
+        names = read_csv_report(spark, job.mentions_path, names.schema)
     prepared = recipes.aggregation_input(stored, job.term)
     write_csv_report(recipes.difficulty_report(prepared), job.report_path, single_file=True)
     return names

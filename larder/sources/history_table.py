@@ -28,5 +28,6 @@ class HistoryTable:
         first.write.mode("ignore").parquet(self.path)
         history = self.read()
         if runs.active_runs(history, etl_name).isEmpty():
-            next_id = history.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
+            own = history.where(F.col("etl_name") == etl_name)
+            next_id = own.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
             self.append(runs.seed(self.spark, etl_name, watermark_column, next_id))

@@ -38,6 +38,17 @@ def arrange(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.withColumn("_spread", spread).repartition(*partition_by, "_spread").drop("_spread")
 
 
+def _has_runs(spark: SparkSession, path: str) -> bool | None:
+    """Whether the folders of a table begin with ``run_id``; None where there is no table yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return None
+    names = [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory()]
+    folders = [name for name in names if "=" in name]
+    return folders[0].startswith("run_id=") if folders else None
+
+
 def write_lake(
     df: DataFrame,
     path: str,
@@ -49,14 +60,20 @@ def write_lake(
 ) -> str | None:
     """Writes a partitioned table; returns the value of ``observe`` over the rows written.
 
-    ``mode`` is ``overwrite`` (the whole table) or ``append``. With ``run_id`` the table gets a
-    leading ``run_id`` partition, and appending replaces what an earlier attempt of the same run
-    left behind. ``clustered`` skips the shuffle for input that already arrives by partition.
+    ``mode`` is ``overwrite`` (the whole table), ``append``, or ``replace``: only the partitions that
+    ``df`` has rows of. With ``run_id`` the table gets a leading ``run_id`` partition, and appending replaces
+    what an earlier attempt of the same run left behind; a table written without one cannot take such
+    rows, nor the other way round, and ``ValueError`` is raised before anything is written. ``clustered`` skips
+    the shuffle for input that already arrives by partition.
 
     ``observe`` is an aggregate such as ``max``, computed while writing. It must not change when
     rows are seen twice, because a lost executor's tasks run again.
     """
     folders = list(partition_by)
+    if mode == "replace" and run_id is not None:
+        raise ValueError("partitions staged by run cannot be replaced")
+    if mode != "overwrite" and _has_runs(df.sparkSession, path) == (run_id is None):
+        raise ValueError(f"{path} was written {'without' if run_id is not None else 'with'} a run_id partition")
     arranged = df if clustered else arrange(df, folders)
     if run_id is not None and mode == "append":
         path, mode = f"{path.rstrip('/')}/run_id={run_id}", "overwrite"
@@ -68,7 +85,7 @@ def write_lake(
     if observe is not None:
         seen = Observation()
         arranged = arranged.observe(seen, observe.cast("string").alias("value"))
-    # Static, so that overwriting replaces everything whatever the session's setting is.
-    writer = arranged.write.option("partitionOverwriteMode", "static")
-    writer.mode(mode).partitionBy(*folders).parquet(path)
+    # Said here, so that what is replaced does not hang on the session's setting.
+    writer = arranged.write.option("partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
+    writer.mode("overwrite" if mode == "replace" else mode).partitionBy(*folders).parquet(path)
     return seen.get["value"] if seen else None

@@ -40,10 +40,11 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, stored: bool = False) -> DataFrame:
     """``df`` computed once, with a broadcast hint only if it has at most ``max_rows`` rows.
 
     For narrow rows such as ids. Larger frames come back without a hint, for Spark to shuffle.
+    ``stored`` says that ``df`` comes from ``computed_once`` already.
     """
-    kept = computed_once(df)
+    kept = df if stored else computed_once(df)
     return F.broadcast(kept) if kept.count() <= max_rows else kept

@@ -132,10 +132,18 @@ def test_lines(spark):
 
 
 def test_parse_date(spark):
-    wrong = ["oops", "2013-03-28x", "2013-3-8", "2013-02-30", "", None, " 2013-03-28", "2013-03-28 "]
-    wrong += ["2013-03-8 ", "2013-03-8T", "2013-03-28\n", "+2013-03-28", "12013-03-28", "2013", "20130328"]
-    found = evaluate(spark, ["2013-03-28", "2012-02-29", *wrong], parse_date("text").cast("string"))
-    assert found == ["2013-03-28", "2012-02-29"] + [None] * len(wrong)
+    wrong = ["oops", "2013-02-30", "", None, " 2013-03-28", "2013-03-281", "2013-3-123", "28/03/2013"]
+    wrong += ["+2013-03-28", "12013-03-28", "2013", "20130328", "2013-13-01", "2013-03"]
+    right = {"2013-03-28": "2013-03-28", "2012-02-29": "2012-02-29", "2013-3-8": "2013-03-08"}
+    right |= {"2013-03-28x": "2013-03-28", "2013-03-28T10:00:00": "2013-03-28", "2013-03-8 ": "2013-03-08"}
+    right |= {"2013-03-28\n": "2013-03-28"}
+    found = evaluate(spark, [*right, *wrong], parse_date("text").cast("string"))
+    assert found == [*right.values()] + [None] * len(wrong)
+
+
+def test_duration_in_a_very_long_text(spark):
+    text = "a😀" * 200_000
+    assert evaluate(spark, [f"{text}PT5M"], duration_minutes("text")) == [5]
 
 
 def test_difficulty_limits(spark):

@@ -31,7 +31,7 @@ def test_seed_goes_above_other_pipelines(spark, tmp_path):
     history = HistoryTable(spark, str(tmp_path / "h"))
     for name in ("a", "b", "a"):
         history.seed(name)
-    assert sorted((r.id, r.etl_name) for r in history.read().collect()) == [(1, "a"), (2, "b")]
+    assert sorted((r.id, r.etl_name) for r in history.read().collect()) == [(1, "a"), (1, "b")]
 
 
 def test_seed_into_an_empty_table(spark, tmp_path):
@@ -73,7 +73,7 @@ def test_load_mode(spark, skip, full, mark, mode):
 @pytest.fixture(params=[0, shared.BROADCAST_ROWS])
 def broadcast_rows(request, monkeypatch):
     """Runs a test with a broadcast join and with a shuffled one."""
-    monkeypatch.setattr(shared.broadcast_if_small, "__defaults__", (request.param,))
+    monkeypatch.setattr(shared.broadcast_if_small, "__defaults__", (request.param, False))
     return request.param
 
 
@@ -87,20 +87,46 @@ def test_advance(spark, broadcast_rows):
     current = runs.current_runs(history).where(F.col("etl_name") != "e")
     advanced = runs.advance(history, current.withColumn("new_watermark", loaded))
     assert advanced.schema.simpleString() == RUN_HISTORY.simpleString()
-    rows = {r.id: (r.etl_name, r.is_active, r.full_load, r.filter_col1_value) for r in advanced.collect()}
+    rows = {(r.etl_name, r.id): (r.is_active, r.full_load, r.filter_col1_value) for r in advanced.collect()}
     assert rows == {
-        3: ("a", "N", "N", "2013-03-28"),
-        5: ("b", "N", "N", "2013-03-28"),
-        8: ("c", "N", "Y", None),
-        9: ("d", "N", "Y", "2013-03-28"),
-        10: ("e", "Y", "N", "2013-03-28"),
-        11: ("a", "Y", "N", "2014-02-02"),
-        13: ("b", "Y", "N", "2013-03-28"),
-        16: ("c", "Y", "Y", None),
-        17: ("d", "Y", "N", "2014-03-03"),
+        ("a", 3): ("N", "N", "2013-03-28"),
+        ("b", 5): ("N", "N", "2013-03-28"),
+        ("c", 8): ("N", "Y", None),
+        ("d", 9): ("N", "Y", "2013-03-28"),
+        ("e", 10): ("Y", "N", "2013-03-28"),
+        ("a", 4): ("Y", "N", "2014-02-02"),
+        ("b", 6): ("Y", "N", "2013-03-28"),
+        ("c", 9): ("Y", "Y", None),
+        ("d", 10): ("Y", "N", "2014-03-03"),
     }
 
 
+def test_pipelines_share_ids(spark):
+    history = frame(spark, row(3, "a"), row(3, "b"), row(4, None))
+    finished = runs.current_runs(history, "a").withColumn("new_watermark", F.lit("2014-02-02"))
+    rows = sorted((r.etl_name or "", r.id, r.is_active) for r in runs.advance(history, finished).collect())
+    assert rows == [("", 4, "Y"), ("a", 3, "N"), ("a", 4, "Y"), ("b", 3, "Y")]
+
+
+def test_ids_do_not_run_away(spark):
+    """Each of 100 pipelines that were idle for long is taken up together with the newest one."""
+    names = [f"p{i}" for i in range(100)]
+    history = frame(spark, *(row(i + 1, name) for i, name in enumerate(names)))
+    finished = runs.current_runs(history).withColumn("new_watermark", F.lit(None))
+    for _ in range(3):
+        history = frame(spark, *runs.advance(history, finished).collect())
+        finished = runs.current_runs(history).where("etl_name IN ('p0', 'p99')")
+        finished = finished.withColumn("new_watermark", F.lit(None))
+    assert history.select(F.max("id")).first()[0] == 103
+
+
+def test_timestamp_marks(spark):
+    marks = ["2024-01-31 10:00:00", "2024-01-31 10:00:00.5", "2024-01-31", "2024-01-31 10", "2024-02-30 10:00:00", "x"]
+    history = frame(spark, *(row(i, "a", mark=mark) for i, mark in enumerate(marks)))
+    found = [r[0] for r in history.orderBy("id").select(runs.stored_watermark()).collect()]
+    assert found == [*marks[:3], None, None, None]
+
+
 def test_retire_broadcasts_only_what_was_counted(spark, broadcast_rows):
     history = frame(spark, row(1, "a"), row(2, "a"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

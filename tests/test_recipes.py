@@ -260,8 +260,8 @@ def test_report_reads_only_what_it_needs(spark, tmp_path, source):
     job = job_at(tmp_path, source)
     HistoryTable(spark, job.history_path).seed(job.etl_name)
     ingest_recipes(spark, job)
-    names = report_recipes(spark, job)
     stored = read_lake(spark, job.lake_path, CLEANSED_RECIPE)
+    names = recipes.mentioning(stored)
     report = recipes.difficulty_report(recipes.aggregation_input(stored))
     plan = report._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
@@ -274,18 +274,81 @@ def test_report_reads_only_what_it_needs(spark, tmp_path, source):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-def test_old_files_left_unread(spark, tmp_path, source):
-    """The watermark does not move back when a delta with a lookback sees only older rows."""
-    job = job_at(tmp_path, source)
+def test_old_files_left_unread(spark, tmp_path, source, monkeypatch):
+    """A delta leaves files older than the run before it unread; one that lands during a load is loaded next."""
+    job = replace(job_at(tmp_path, source), new_files_only=True)
+    HistoryTable(spark, job.history_path).seed(job.etl_name)
+    os.utime(tmp_path / "input" / "recipes-000.json", (0, 0))
+    ingest_recipes(spark, job)
+    began = HistoryTable(spark, job.history_path).read().orderBy(F.desc("id")).first().run_date.timestamp()
+    before = len(stored_names(spark, job))
+    write_lines(tmp_path / "input", "recipes-001.json", [recipe("Landed", "2014-03-25")])
+    os.utime(tmp_path / "input" / "recipes-001.json", (began, began))
+    scanned = []
+
+    def load_recipes_seen(*args, **options):
+        rows = load_recipes(*args, **options)
+        scanned.extend(rows.inputFiles())
+        return rows
+
+    monkeypatch.setattr("larder.plans.recipes.load_recipes", load_recipes_seen)
+    done = ingest_recipes(spark, job)
+    assert [os.path.basename(name) for name in scanned] == ["recipes-001.json"]
+    assert (done.mode, done.watermark) == ("delta", "2014-03-25")
+    assert len(stored_names(spark, job)) == before + 1
+
+
+def test_lookback_takes_late_rows_once(spark, tmp_path, source):
+    """Rows of months before the window stay, undated ones as well, and the watermark does not move back."""
+    job = replace(job_at(tmp_path, source), lookback_days=7)
     HistoryTable(spark, job.history_path).seed(job.etl_name)
     ingest_recipes(spark, job)
+    before = stored_names(spark, job)
     write_lines(tmp_path / "input", "recipes-001.json", [recipe("Late", "2013-03-25")])
-    os.utime(tmp_path / "input" / "recipes-000.json", (0, 0))
-    options = {"modifiedAfter": "2001-01-01T00:00:00"}
-    done = ingest_recipes(spark, replace(job, lookback_days=7, reader_options=options))
+    for _ in range(2):
+        done = ingest_recipes(spark, job)
     assert (done.mode, done.watermark) == ("delta", "2013-03-28")
-    assert len(stored_names(spark, job)) == 13
-    assert history_rows(spark, job)[-1] == (3, "N", "2013-03-28")
+    assert sorted(map(str, stored_names(spark, job))) == sorted(map(str, [*before, "Late"]))
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [{"stage_by_run": True}, {"new_files_only": True}, {"reader_options": {"modifiedAfter": "2001-01-01T00:00:00"}}],
+)
+def test_lookback_that_cannot_be_exact(spark, tmp_path, source, changes):
+    job = replace(job_at(tmp_path, source), lookback_days=7, **changes)
+    HistoryTable(spark, job.history_path).seed(job.etl_name)
+    with pytest.raises(ValueError, match="lookback"):
+        ingest_recipes(spark, job)
+    assert not os.path.exists(job.lake_path)
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_layout_cannot_change(spark, tmp_path, source, first):
+    job = replace(job_at(tmp_path, source), stage_by_run=first)
+    HistoryTable(spark, job.history_path).seed(job.etl_name)
+    ingest_recipes(spark, job)
+    files, rows = sorted(os.walk(job.lake_path)), history_rows(spark, job)
+    write_lines(tmp_path / "input", "recipes-001.json", [recipe("New", "2014-03-25")])
+    with pytest.raises(ValueError, match="run_id"):
+        ingest_recipes(spark, replace(job, stage_by_run=not first))
+    assert (sorted(os.walk(job.lake_path)), history_rows(spark, job)) == (files, rows)
+
+
+def test_history_of_another_column(spark, tmp_path, source):
+    job = job_at(tmp_path, source)
+    HistoryTable(spark, job.history_path).seed(job.etl_name, "updated")
+    with pytest.raises(ValueError, match="updated"):
+        ingest_recipes(spark, job)
+    assert not os.path.exists(job.lake_path)
+
+
+def test_strict_durations_fail_the_job(spark, tmp_path):
+    write_lines(tmp_path / "input", "recipes-000.json", [recipe("A", "2013-03-25") | {"cookTime": "PT1.5H"}])
+    job = replace(job_at(tmp_path, str(tmp_path / "input")), strict_durations=True)
+    HistoryTable(spark, job.history_path).seed(job.etl_name)
+    with pytest.raises(Exception, match="cannot read as a duration"):
+        ingest_recipes(spark, job)
 
 
 def test_command_line(spark, tmp_path, source, capfd):

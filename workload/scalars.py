@@ -180,10 +180,11 @@ def rows_mentioning_term(spark, sf_dir):
     return flagged.where(F.col("flag") == 1).select("doc_id")
 
 
-@query(f"SELECT doc_id, source FROM documents WHERE {LINE_MATCH} ORDER BY doc_id LIMIT 60")
+@query("SELECT doc_id, source FROM documents WHERE contains(lower(text), 'en') ORDER BY doc_id LIMIT 60")
 def preview_rows(spark, sf_dir):
+    """Most documents match, so the limit acts at every size."""
     documents = table(spark, sf_dir, "documents")
-    matching = documents.where(mentions(lines("text"), TERM) == 1).select("doc_id", "source")
+    matching = documents.where(mentions(lines("text"), "en") == 1).select("doc_id", "source")
     return preview(matching, 60, order_by="doc_id")
 
 
@@ -213,16 +214,21 @@ def parse_date(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", fn.parse_date(text).alias("parsed"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN CAST(o_orderdate AS DATE) END AS parsed,
-        CAST(CASE WHEN o_orderpriority = '5-LOW' THEN year(o_orderdate) END AS INTEGER) AS "year"
+@query("""SELECT o_orderkey, CASE WHEN o_orderpriority IN ('5-LOW', '2-HIGH') THEN CAST(o_orderdate AS DATE) END AS parsed,
+        CAST(CASE WHEN o_orderpriority IN ('5-LOW', '2-HIGH') THEN year(o_orderdate) END AS INTEGER) AS "year"
     FROM orders""")
 def parse_date_unreadable(spark, sf_dir):
-    """Other formats, trailing text, impossible days and plain words give NULL."""
+    """Other orders, impossible days, extra digits and plain words give NULL; short months and trailing text are read."""
     text = (
         F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "dd/MM/yyyy"))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "yyyy-M-d'T'HH:mm"))
         .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format("o_orderdate", "yyyy-MM-'45'"))
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_orderstatus"))
+        .when(
+            F.col("o_orderpriority") == "4-NOT SPECIFIED",
+            F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).otherwise(
+                F.concat(F.to_date("o_orderdate").cast("string"), F.lit("1"))
+            ),
+        )
         .otherwise(F.to_date("o_orderdate").cast("string"))
     )
     return table(spark, sf_dir, "orders").select(
@@ -288,7 +294,7 @@ def watermark_max(spark, sf_dir):
     return watermark(order_dates(spark, sf_dir), "order_date")
 
 
-@query("SELECT CAST(NULL AS DATE) AS watermark FROM (SELECT count(*) FROM orders)")
+@query("SELECT max(try_cast(o_orderstatus AS DATE)) AS watermark FROM orders")
 def watermark_undated(spark, sf_dir):
     """A table without any date has the watermark NULL, not a text such as 'None'."""
     undated = order_dates(spark, sf_dir).select(fn.parse_date("o_orderstatus").alias("order_date"))
@@ -298,3 +304,15 @@ def watermark_undated(spark, sf_dir):
 @query("SELECT count(*) AS n FROM lineitem")
 def row_count(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT doc_id, CAST(5 AS INTEGER) AS before, CAST(60 * (doc_id % 9) + 5 AS INTEGER) AS after FROM documents""")
+def duration_in_texts(spark, sf_dir):
+    """Whole texts of many words and character widths around a duration, without further markers."""
+    text = F.translate("text", "HMPT", "hmpt")
+    after = F.concat(text, F.lit("PT"), F.col("doc_id") % 9, F.lit("H5M"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        fn.duration_minutes(F.concat(F.lit("PT5M"), text)).alias("before"),
+        fn.duration_minutes(after).alias("after"),
+    )

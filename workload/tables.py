@@ -178,3 +178,69 @@ def ingest_other_table(spark, sf_dir):
             watermark_column="order_date",
         )
     return read_lake(spark, f"{folder}/lake", orders.schema)
+
+
+@query("""SELECT event_id, ts, CAST(year(ts) AS INTEGER) AS "year", CAST(month(ts) AS INTEGER) AS "month" FROM events""")
+def ingest_by_timestamp(spark, sf_dir):
+    """A mark in the middle of a day: three runs leave every event once."""
+    events = with_year_month(table(spark, sf_dir, "events").select("event_id", "ts"), "ts")
+    folder = scratch_path(spark, "events")
+    history = HistoryTable(spark, f"{folder}/history")
+    history.seed("events", "ts")
+    early = events.where(F.col("ts") <= F.lit("2024-01-10 11:30:00").cast("timestamp_ntz"))
+    for arrived in (early, events, events):
+        ingest(
+            history,
+            "events",
+            lambda mark: newer_than(arrived, "ts", mark),
+            f"{folder}/lake",
+            watermark_column="ts",
+        )
+    return read_lake(spark, f"{folder}/lake", events.schema)
+
+
+def as_uri(path):
+    return path if ":" in path else f"file:{path}"
+
+
+@query("SELECT CAST(p_size AS VARCHAR) AS p_size, p_name FROM part")
+def json_uris(spark, sf_dir):
+    """Two folders named by URI, written and read together."""
+    part = table(spark, sf_dir, "part")
+    paths = [as_uri(scratch_path(spark, "part-json")) for _ in range(2)]
+    for i, path in enumerate(paths):
+        part.where(F.col("p_partkey") % 2 == i).select("p_size", "p_name").write.json(path)
+    return read_json_lines(spark, paths, PART_TEXT).select("p_size", "p_name")
+
+
+@query(MONTHLY_SQL)
+def parquet_uri(spark, sf_dir):
+    orders = orders_by_month(spark, sf_dir)
+    path = as_uri(scratch_path(spark, "orders"))
+    write_lake(orders, path, "overwrite")
+    return read_lake(spark, path, orders.schema)
+
+
+TEXTS_SQL = r"""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN '  ' || text || ' ' WHEN 1 THEN chr(9) || text || chr(9)
+        WHEN 2 THEN '"' || text || '", "' WHEN 3 THEN chr(92) || text WHEN 4 THEN '' WHEN 5 THEN NULL
+        WHEN 6 THEN chr(13) || chr(10) || text || chr(10) ELSE chr(92) || 'N' END AS text, source FROM documents"""
+
+
+@query(TEXTS_SQL)
+def csv_text_roundtrip(spark, sf_dir):
+    """Blanks, tabs, quotes, backslashes and line breaks at both ends, empty text and NULL."""
+    text, kind = F.col("text"), F.col("doc_id") % 8
+    odd = (
+        F.when(kind == 0, F.concat(F.lit("  "), text, F.lit(" ")))
+        .when(kind == 1, F.concat(F.lit("\t"), text, F.lit("\t")))
+        .when(kind == 2, F.concat(F.lit('"'), text, F.lit('", "')))
+        .when(kind == 3, F.concat(F.lit("\\"), text))
+        .when(kind == 4, "")
+        .when(kind == 5, F.lit(None).cast("string"))
+        .when(kind == 6, F.concat(F.lit("\r\n"), text, F.lit("\n")))
+        .otherwise("\\N")
+    )
+    rows = table(spark, sf_dir, "documents").select("doc_id", odd.alias("text"), "source")
+    path = scratch_path(spark, "texts")
+    write_csv_report(rows, path)
+    return read_csv_report(spark, path, rows.schema)
