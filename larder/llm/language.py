@@ -67,7 +67,7 @@ def features(texts: Sequence[str | None]) -> Words:
     value = raw.astype(np.uint32)
     for size in range(2, max(GRAMS) + 1):
         value = value << np.uint32(8)
-        value[: n - size + 1] |= raw[size - 1 :]
+        value[: max(0, n - size + 1)] |= raw[size - 1 :]
         if size in GRAMS:
             fits = left >= size
             hashed = (value * MIX[size - 2] >> np.uint32(32 - TABLE_BITS)).astype(np.int32) + 1
