@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 from bench import session
 from larder.functions import duration_minutes, lines, mentions, parse_date
 from larder.operators import recipes
+from larder.operators.rows import drop_missing, watermark, with_year_month
 from larder.plans.recipes import RecipeJob, run_recipes
 from larder.schemas import CLEANSED_RECIPE, RAW_RECIPE
+from larder.sources.csv_report import write_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import read_json_lines
 from larder.sources.lake import read_lake
@@ -65,38 +67,21 @@ def write_recipes(spark, sf_dir, copies, path):
 
 
 def udf_job(spark, source, folder):
-    cleansed = (
-        spark.read.json(source, schema=RAW_RECIPE)
-        .select(
-            F.trim("name").alias("recipeName"),
-            F.to_date("datePublished", "yyyy-MM-dd").alias("datePublished"),
-            minutes_udf("cookTime").alias("cookTimeMinutes"),
-            minutes_udf("prepTime").alias("prepTimeMinutes"),
-            "description",
-            "image",
-            "recipeYield",
-            "url",
-            F.split("ingredients", "\n").alias("ingredients_arr"),
-        )
-        .na.drop(subset=["recipeName"])
-        .withColumns({"year": F.year("datePublished"), "month": F.month("datePublished")})
-    )
+    """The library's own steps, but for what is compared: the two functions, one task per year, a second read."""
+    raw = read_json_lines(spark, source, RAW_RECIPE)
+    read = raw.withColumns({"cook": minutes_udf("cookTime"), "prep": minutes_udf("prepTime")})
+    named = drop_missing(read.withColumn("recipeName", F.trim("name")), "recipeName")
+    dated = with_year_month(named.withColumn("published", parse_date("datePublished")), "published")
+    cleansed = dated.select("recipeName", "published", "cook", "prep", lines("ingredients").alias("items"), "year", "month")
     writer = cleansed.repartition("year").write.mode("overwrite").partitionBy("year", "month")
     writer.parquet(f"{folder}/lake")
-    cleansed.agg(F.max("datePublished")).first()
-    prepared = (
-        spark.read.parquet(f"{folder}/lake")
-        .select(
-            "recipeName",
-            mentions_udf("ingredients_arr", F.lit("beef")).alias("is_beef_recipe"),
-            (F.col("cookTimeMinutes") + F.col("prepTimeMinutes")).alias("total_time"),
-        )
-        .withColumn("difficulty", recipes.difficulty("total_time"))
-    )
-    names = prepared.where("is_beef_recipe = 1").select("recipeName")
-    report = prepared.groupBy("difficulty").agg(F.round(F.avg("total_time")).alias("avg_total_cooking_time"))
-    report.coalesce(1).write.option("header", True).csv(f"{folder}/report")
-    names.write.format("noop").mode("overwrite").save()
+    watermark(cleansed, "published").first()
+    stored = read_lake(spark, f"{folder}/lake", cleansed.schema)
+    timed_ = stored.withColumn("minutes", F.col("cook") + F.col("prep"))
+    labelled = timed_.withColumn("difficulty", recipes.difficulty("minutes"))
+    report = recipes.average_per(labelled, "difficulty", "minutes", "avg_total_cooking_time")
+    write_csv_report(report, f"{folder}/report", single_file=True)
+    stored.where(mentions_udf("items", F.lit("beef")) == 1).select("recipeName").write.format("noop").mode("overwrite").save()
 
 
 def native_job(spark, source, folder):
