@@ -140,7 +140,9 @@ def repeated_passages(
     let_workers_import(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     suffixes = stored(sparse_suffixes(rows.where("text IS NOT NULL"), passage), "suffixes")
+    # Stored, so that the joins begin with plain shuffles of both sides, which Spark can split where skewed.
     shared = suffixes.groupBy("anchor").agg(_different().alias("different")).where("different").select("anchor")
+    shared = stored(shared, "shared")
     marks = suffixes.join(shared, "anchor", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("marks"))
 
     keyed = rows.where("text IS NOT NULL").select("id", *_keys("text"))
@@ -154,6 +156,7 @@ def repeated_passages(
     )
     runs = stored(extended(chosen, passage), "runs")
     again = runs.groupBy("h1", "h2").agg(_different().alias("different")).where("different").select("h1", "h2")
+    again = stored(again, "again")
     starts = runs.join(again, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("starts"))
 
     of_text = copies.join(starts, ["k1", "k2"], "left").where("copies > 1 OR starts IS NOT NULL")
