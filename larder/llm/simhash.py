@@ -81,7 +81,8 @@ def close_pairs(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> Data
         part = F.col("fingerprint").bitwiseAND(F.lit(mask).cast("bigint"))
         choices.append(F.struct(F.lit(sum(1 << i for i in chosen)).alias("choice"), part.alias("part")))
     keyed = distinct.select("fingerprint", F.inline(F.array(*choices)))
-    left, right = keyed.alias("l"), keyed.alias("r")
+    # Spark takes the rows of all choices for no more than the fingerprints; it must not broadcast them.
+    left, right = keyed.alias("l"), keyed.hint("merge").alias("r")
     a, b = F.col("l.fingerprint"), F.col("r.fingerprint")
     difference = a.bitwiseXOR(b)
     return left.join(
