@@ -51,6 +51,8 @@ WORDS = (
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 # Characters that stand for letters.
 SWAPS = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "l", "0": "o", "$": "s", "5": "s", "7": "t", "!": "i"})
+# Lengths of segments whose repeats are looked for.
+UNITS = (2, 3, 4, 5, 6, 8, 10, 12)
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?[01]\d[-/.]?[0-3]\d|[0-3]?\d[-/.][01]?\d[-/.](?:19|20)?\d\d|(?:19|20)\d\d")
 
 
@@ -91,6 +93,7 @@ def guess_bits(value: str) -> float:
     for at in range(n):
         if value[at].isdigit() and (match := DATE.match(value, at)):
             dates.setdefault(match.end(), []).append(at)
+    same = dict.fromkeys(UNITS, 0)  # characters up to here that equal the one a unit before them
     run = walk = order = 0  # where the current run of one character, keyboard walk, and sequence begin
     for end in range(1, n + 1):
         here = value[end - 1]
@@ -118,10 +121,9 @@ def guess_bits(value: str) -> float:
         for start in {walk, order}:
             if end - start >= 3:
                 cost = min(cost, best[start] + math.log2(94) + math.log2(end - start) + joint)
-        for unit in (2, 3, 4, 5, 6, 8, 10, 12):
-            times = 1
-            while end - (times + 1) * unit >= 0 and value[end - (times + 1) * unit : end - times * unit] == value[end - unit : end]:
-                times += 1
+        for unit in same:
+            same[unit] = same[unit] + 1 if end > unit and here == value[end - 1 - unit] else 0
+            times = same[unit] // unit + 1
             if times > 1:
                 # The first copy as it was segmented, then how often it comes again.
                 cost = min(cost, best[end - (times - 1) * unit] + math.log2(times) + joint)

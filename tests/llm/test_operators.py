@@ -462,6 +462,13 @@ def test_guess_costs_grow_with_surprise():
     assert secrets.guess_bits("kV9!kV9!kV9!") < secrets.guess_bits("kV9!pQ3#zR7?")
 
 
+def test_long_repeats_cost_time_in_proportion():
+    """A value of 200,000 characters made of one pair: quadratic work would take hours."""
+    value = "x9" * 100_000
+    assert secrets.guess_bits(value) < secrets.GUESS_BITS
+    assert [str(s) for s in secrets.guess_spans(f"pwd: {value}", [])] == []
+
+
 def test_guesses_are_added_to_the_base():
     text = "pwd: 'x9$kQ!z7Lp#w' and passphrase = changeme1 and password=abcdef1234567890"
     base = secrets.base_spans(text)
