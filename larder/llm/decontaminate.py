@@ -187,7 +187,8 @@ def _findings(docs, benchmark, text_column, item_column, window, broadcast_grams
     named = items.groupBy("key").agg(
         F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256")
     )
-    return spans.withColumn("n_hit", covered).join(named, "key", "left")
+    # Stored, so that the join with the documents has no aggregate beside it and a frequent key can be split.
+    return stored(spans.withColumn("n_hit", covered).join(named, "key", "left"), "findings")
 
 
 def decontaminate(
