@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ``edges`` has two columns of one type. Alternates the large-star and small-star steps of
     Kiveris et al. (2014): each node's larger neighbours, then its smaller ones, are linked to the
     least node it knows. Every step is a partial aggregate and an equi-join, so a node with very
-    many neighbours is pre-aggregated and its join partition can be split. Ends when a pair of
+    many neighbours is pre-aggregated; least nodes are stored before the join, without which Spark could
+    not split the join partition of such a node. Ends when a pair of
     steps changes nothing, after about log2 of the longest path. Edges that hold NULL, loops
     and repeated edges mean nothing. No edges give no rows.
     """
@@ -36,12 +37,12 @@ def _state(pairs: DataFrame) -> tuple:
 
 def _large_star(pairs: DataFrame) -> DataFrame:
     both = pairs.union(pairs.select("v", "u"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:
     """``pairs`` has the larger node first."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = pairs.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()

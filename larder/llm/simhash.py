@@ -129,7 +129,7 @@ def near_duplicates(
     classes = signed.groupBy("fingerprint").agg(F.min("id").alias("least"))
     groups = fingerprint_groups(classes.select("fingerprint"), max_bits, blocks)
     rooted = classes.join(groups, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     of_class = rooted.join(least, "root").select("fingerprint", "component_id")
     return signed.join(of_class, "fingerprint").select("id", "fingerprint", "component_id")
 
