@@ -21,6 +21,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def any_case(text: Column) -> Column:
+    """``text`` with the case of all letters folded, each letter without regard to those around it.
+
+    ``lower`` turns a capital sigma into one of two letters, by what follows it, also beyond the word.
+    """
+    return F.replace(F.lower(text), F.lit("\u03c2"), F.lit("\u03c3"))
+
+
 def words(text: Column | str) -> Column:
     """The words of a text as an array, in their own case; of NULL an empty one."""
     column = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -86,7 +94,7 @@ def window_hits(
         starts = F.when(last >= 1, F.sequence(F.lit(1), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda at: hashed(array, at, size, n))
 
-    split = windows.select("n", F.split(F.lower("words"), " ").alias("all"))
+    split = windows.select("n", F.split(any_case(F.col("words")), " ").alias("all"))
     of_windows = [
         split.where(F.col("n") == n).select(F.inline(grams("all", n, 1))).select("n", "gram") for n in lengths
     ]
@@ -95,7 +103,7 @@ def window_hits(
         known = known.union(more)
     known = broadcast_if_small(known.distinct(), broadcast_grams)
 
-    folded = docs.select(F.col(text_column).alias("text"), words(F.lower(F.col(text_column))).alias("all"))
+    folded = docs.select(F.col(text_column).alias("text"), words(any_case(F.col(text_column))).alias("all"))
     probed = F.inline(F.concat(*(grams("all", n, gram_shape(n)[1]) for n in lengths)))
     probes = folded.select("text", F.size("all").alias("n_all"), probed)
     step = F.lit(None).cast("int")

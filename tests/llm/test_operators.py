@@ -221,6 +221,17 @@ def test_windows_of_all_lengths(spark, broadcast_grams):
     assert got == sorted((i, *slow_hits(text, items, 5)) for i, text in rows)
 
 
+def test_letters_whose_case_depends_on_the_next_word(spark):
+    """A capital sigma at the end of a word, before punctuation in the text and before a blank in the item."""
+    text = "\u0391\u03a3.b c.\u0394\u03a3'e f"
+    item = "\u0391\u03a3 b c \u0394\u03a3 e f"
+    found = decontaminate.contamination(
+        spark.createDataFrame([(1, text), (2, text.lower())], "doc_id bigint, text string"),
+        spark.createDataFrame([(7, item)], "item_id bigint, text string"),
+    ).collect()
+    assert {r.id: (r.n_words, r.n_hit) for r in found} == {1: (6, 6), 2: (6, 0)}
+
+
 def test_spans_are_cut_out(spark):
     docs = spark.createDataFrame([(1, "Keep, this A b-c D e? and (that)."), (2, "a b c d e"), (3, "clean.")], "doc_id int, text string")
     bench = spark.createDataFrame([(1, "a b c d e")], "item_id int, text string")
