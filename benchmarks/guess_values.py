@@ -1,0 +1,60 @@
+"""Recall of guess spans on random values, and guess spans on words of texts without secrets.
+
+python -m benchmarks.guess_values [documents.parquet]
+"""
+
+from __future__ import annotations
+
+import random
+import string
+import sys
+
+import pyarrow.parquet as pq
+
+from larder.llm import secrets
+
+ALPHABETS = {
+    "lower": string.ascii_lowercase,
+    "lower+digits": string.ascii_lowercase + string.digits,
+    "letters+digits": string.ascii_letters + string.digits,
+    "printable": "".join(c for c in map(chr, range(33, 127)) if c not in "\"'"),
+}
+CONTEXTS = ("pwd: {}", "db_pwd={}", "passphrase = {}", "private_key: {}", "myCredentials: {}", "access_key = {}")
+EACH = 500
+
+
+def found(value: str, context: str, quote: str = "") -> bool:
+    text = context.format(quote + value + quote)
+    return bool(secrets.guess_spans(text, secrets.base_spans(text), *EXTRA))
+
+
+EXTRA: tuple = ()
+
+
+def main(path: str) -> None:
+    pick = random.Random(1)
+    hits = total = 0
+    for name, alphabet in ALPHABETS.items():
+        for size in (8, 9, 10, 12):
+            n = sum(found("".join(pick.choices(alphabet, k=size)), pick.choice(CONTEXTS)) for _ in range(EACH))
+            hits, total = hits + n, total + EACH
+            print(f"random {name} {size}: {n}/{EACH}")
+    texts = [t for t in pq.read_table(path, columns=["text"])["text"].to_pylist() if t and not secrets.base_spans(t)]
+    false = asked = 0
+    for words in (1, 2, 4, 6):
+        n = tried = 0
+        while tried < EACH:
+            split = pick.choice(texts).replace('"', "").split()
+            at = pick.randrange(max(1, len(split) - words))
+            value = " ".join(split[at : at + words])
+            if len(value) < secrets.GUESS_LEAST or not value.replace(" ", "").isascii():
+                continue
+            tried += 1
+            n += found(value, pick.choice(CONTEXTS), '"' if words > 1 else pick.choice(('"', "")))
+        false, asked = false + n, asked + tried
+        print(f"{words} words of a text: {n}/{tried}")
+    print(f"recall {hits / total:.3f}, precision {hits / max(1, hits + false):.3f}, false spans {false}/{asked}")
+
+
+if __name__ == "__main__":
+    main(*(sys.argv[1:] or ["/root/testdata/sf0.01/documents.parquet"]))

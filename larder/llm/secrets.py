@@ -28,13 +28,14 @@ ASSIGN_NEAR = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CONTEXT_NEAR = (*ASSIGN_NEAR, "passphrase", "passcode", "pwd", "credential", "private", "access", "api-key", "auth")
 # A credential context and its value: in quotes up to the same quote, else up to white space.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:password|passwd|passphrase|passcode|pwd|credentials?|secret|token|private[_-]?key|access[_-]?key"""
+    r"""(?:password|passwd|passphrase|passcode|pwd|credentials?|secret|token|private[_-]?key|access[_-]?key"""
     r"""|api[_-]?key|auth[_-]?(?:token|key))["']?\x20*(?:=>|:=|[:=])\x20*"""
     r"""(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"']+))""",
     re.IGNORECASE | re.ASCII,
 )
-# Bits from which on a value counts as a secret, and its least length.
-GUESS_BITS = 45.0
+# Guesses that an attacker is taken to afford: a value that takes more (33.2 bits) counts as a secret. Its least length.
+GUESS_BUDGET = 1e10
+GUESS_BITS = math.log2(GUESS_BUDGET)
 GUESS_LEAST = 8
 
 # Frequent parts of passwords, most frequent first; a rank is what a word costs to guess.
@@ -56,12 +57,19 @@ UNITS = (2, 3, 4, 5, 6, 8, 10, 12)
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?[01]\d[-/.]?[0-3]\d|[0-3]?\d[-/.][01]?\d[-/.](?:19|20)?\d\d|(?:19|20)\d\d")
 
 
-def _alphabet(character: str) -> float:
-    if character.isdigit():
-        return 10
-    if character.isascii() and character.isalpha():
-        return 26
-    return 33 if character.isascii() else 100
+def _alphabet(value: str) -> int:
+    """Characters that brute force has to try at each place: all of each class that ``value`` holds."""
+    classes = set()
+    for character in set(value):
+        if not character.isascii():
+            classes.add(("other", 100))
+        elif character.isdigit():
+            classes.add(("digit", 10))
+        elif character.isalpha():
+            classes.add(("upper" if character.isupper() else "lower", 26))
+        else:
+            classes.add(("symbol", 33))
+    return sum(size for _, size in classes)
 
 
 @lru_cache(maxsize=None)
@@ -80,7 +88,7 @@ def guess_bits(value: str) -> float:
 
     Dynamic programming over the ends of segments. A segment is a listed word (its rank, doubled for
     capitals and for swapped characters), a date, a repeat of the segmentation before it, a walk along a
-    keyboard row or the alphabet, or brute force (the alphabet of each character). Each segment but the first adds
+    keyboard row or the alphabet, or brute force (the classes of characters in ``value``). Each segment but the first adds
     one bit for where it starts. An empty value costs 0.
     """
     n = len(value)
@@ -88,6 +96,7 @@ def guess_bits(value: str) -> float:
     plain = low.translate(SWAPS)
     ranks, longest = _ranks()
     near = _neighbours()
+    each = math.log2(max(2, _alphabet(value)))
     best = [0.0] + [math.inf] * n
     dates: dict[int, list[int]] = {}
     for at in range(n):
@@ -103,7 +112,7 @@ def guess_bits(value: str) -> float:
             walk = walk if low[end - 2 : end] in near else end - 1
             order = order if abs(ord(here) - ord(before)) == 1 and here.isalnum() else end - 1
         joint = 1.0 if end > 1 else 0.0
-        cost = best[end - 1] + math.log2(_alphabet(here))
+        cost = best[end - 1] + each
         for start in range(max(0, end - longest), end):
             word = low[start:end]
             rank = ranks.get(word)
@@ -117,7 +126,7 @@ def guess_bits(value: str) -> float:
         for start in dates.get(end, ()):
             cost = min(cost, best[start] + math.log2(366 * 150 if end - start > 4 else 150) + joint)
         if end - run >= 3:
-            cost = min(cost, best[run] + math.log2(_alphabet(here)) + math.log2(end - run) + joint)
+            cost = min(cost, best[run] + each + math.log2(end - run) + joint)
         for start in {walk, order}:
             if end - start >= 3:
                 cost = min(cost, best[start] + math.log2(94) + math.log2(end - start) + joint)

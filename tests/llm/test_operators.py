@@ -488,6 +488,23 @@ def test_guesses_are_added_to_the_base():
     assert secrets.redact(text, secrets.in_order([*base, *more]), "*") == "pwd: '*' and passphrase = changeme1 and *"
 
 
+@pytest.mark.parametrize("size", [8, 9, 10, 12])
+@pytest.mark.parametrize("context", ["pwd: {}", "db_pwd={}", "myCredentials: '{}'", "xauth_key => {}"])
+def test_random_values_outside_the_base_keys(size, context):
+    pick = random.Random(size)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in (letters + "0123456789", letters + letters.upper() + "0123456789", letters.upper() + letters + "!#$%&*+?"):
+        texts = [context.format("".join(pick.choices(alphabet, k=size))) for _ in range(50)]
+        assert sum(len(secrets.guess_spans(text, secrets.base_spans(text))) == 1 for text in texts) >= 48
+
+
+def test_values_within_the_guess_budget_of_mixed_classes():
+    for text in ('pwd: "xK9mQ2vT"', "pwd=xK9mQ2vTb7", "password: !Xy7#pQ2"):
+        (span,) = secrets.guess_spans(text, secrets.base_spans(text))
+        assert text[span.start : span.end] == re.split(r"[:=] ?", text)[1].strip('"')
+    assert secrets.guess_spans("pwd: 83920174 pwd: Password12 pwd: aaaaaaaaaaaa", []) == []
+
+
 def test_secrets_query(spark, texts):
     found = {r.doc_id: r for r in QUERIES["op10_secrets"].run(spark, SF_DIR).collect()}
     assign = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
