@@ -1,4 +1,6 @@
-"""Recall of guess spans on random values, and guess spans on words of texts without secrets.
+"""Recall of guess spans on random values and passphrases, and guess spans on words of texts without secrets.
+
+Words are ranked by the even rows of the table; the odd ones give the clean texts.
 
 python -m benchmarks.guess_values [documents.parquet]
 """
@@ -10,6 +12,7 @@ import string
 import sys
 
 import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
 
 from larder.llm import secrets
 
@@ -23,23 +26,36 @@ CONTEXTS = ("pwd: {}", "db_pwd={}", "passphrase = {}", "private_key: {}", "myCre
 EACH = 500
 
 
-def found(value: str, context: str, quote: str = "") -> bool:
-    text = context.format(quote + value + quote)
-    return bool(secrets.guess_spans(text, secrets.base_spans(text), *EXTRA))
+def main(path: str) -> None:
+    texts = pq.read_table(path, columns=["text"])["text"].to_pylist()
+    spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    ranks = secrets.word_ranks(spark.createDataFrame([(t,) for t in texts[::2]], "text string"))
+    print(f"{len(ranks)} ranked words")
+    clean = [t for t in texts[1::2] if t and not secrets.base_spans(t)]
+    listed = sorted(w for w in ranks if w.isascii() and 4 <= len(w) <= 8 and ranks[w] <= 7776)
+    report(clean, listed, None)
+    report(clean, listed, ranks)
+    spark.stop()
 
 
-EXTRA: tuple = ()
+def report(texts: list[str], listed: list[str], ranks: dict[str, int] | None) -> None:
+    print("words by rank in the corpus" if ranks else "words of the fixed list")
+    pick = random.Random(1)
 
+    def found(value: str, context: str, quote: str = "") -> bool:
+        text = context.format(quote + value + quote)
+        return bool(secrets.guess_spans(text, secrets.base_spans(text), ranks=ranks))
 
-def main(path: str) -> None:
-    pick = random.Random(1)
     hits = total = 0
     for name, alphabet in ALPHABETS.items():
         for size in (8, 9, 10, 12):
             n = sum(found("".join(pick.choices(alphabet, k=size)), pick.choice(CONTEXTS)) for _ in range(EACH))
             hits, total = hits + n, total + EACH
             print(f"random {name} {size}: {n}/{EACH}")
-    texts = [t for t in pq.read_table(path, columns=["text"])["text"].to_pylist() if t and not secrets.base_spans(t)]
+    for size in (4, 6):
+        n = sum(found(" ".join(pick.choices(listed, k=size)), pick.choice(CONTEXTS), '"') for _ in range(EACH))
+        hits, total = hits + n, total + EACH
+        print(f"passphrase of {size} of {len(listed)} words: {n}/{EACH}")
     false = asked = 0
     for words in (1, 2, 4, 6):
         n = tried = 0

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.texts import text_function
+from larder.llm.texts import stored, text_function
 
 # The base patterns with the least length of what they match.
 ASSIGN = re.compile(
@@ -37,6 +37,17 @@ CONTEXT = re.compile(
 GUESS_BUDGET = 1e10
 GUESS_BITS = math.log2(GUESS_BUDGET)
 GUESS_LEAST = 8
+# Bits for each word that a value of this many words or more, with blanks between, has to reach: sentences cost less.
+PROSE_BITS, PROSE_WORDS = 11.5, 3
+
+# The most words of the corpus that are broadcast, their longest, and the texts that have to hold one.
+WORDS_MOST = 200_000
+WORD_LONGEST = 24
+WORD_TEXTS = 5
+WORD_RUN = rf"(?<!\p{{L}})\p{{L}}{{1,{WORD_LONGEST}}}(?!\p{{L}})"
+LETTERS = re.compile(r"[^\W\d_]+")
+# Characters that lie between words, and what the first of a kind and the next ones cost.
+BETWEEN, BETWEEN_BITS = " _-./,;:?!", (3.0, 1.0)
 
 # Frequent parts of passwords, most frequent first; a rank is what a word costs to guess.
 WORDS = (
@@ -73,8 +84,15 @@ def _alphabet(value: str) -> int:
 
 
 @lru_cache(maxsize=None)
-def _ranks() -> tuple[dict[str, int], int]:
-    return {word: rank for rank, word in enumerate(WORDS, 1)}, max(map(len, WORDS))
+def _ranks() -> dict[str, int]:
+    return {word: rank for rank, word in enumerate(WORDS, 1)}
+
+
+def _spelling_bits(written: str, word: str) -> int:
+    """What the capitals of ``word`` cost: one bit if it is the first or all of them."""
+    if written == word:
+        return 0
+    return 1 if written.isupper() or written[1:] == word[1:] else len(word)
 
 
 @lru_cache(maxsize=None)
@@ -83,18 +101,20 @@ def _neighbours() -> frozenset[str]:
     return frozenset(pairs | {pair[::-1] for pair in pairs})
 
 
-def guess_bits(value: str) -> float:
+def guess_bits(value: str, ranks: Mapping[str, int] | None = None) -> float:
     """Base-2 logarithm of the guesses that the cheapest segmentation of ``value`` takes.
 
-    Dynamic programming over the ends of segments. A segment is a listed word (its rank, doubled for
-    capitals and for swapped characters), a date, a repeat of the segmentation before it, a walk along a
+    Dynamic programming over the ends of segments. A segment is a word of ``ranks`` or else ``WORDS`` (its rank, and
+    its capitals and swapped characters; under three letters only if no letter is beside it), a character between
+    words, a date, a repeat of the segmentation before it, a copy of three or more earlier characters, a walk along a
     keyboard row or the alphabet, or brute force (the classes of characters in ``value``). Each segment but the first adds
     one bit for where it starts. An empty value costs 0.
     """
     n = len(value)
     low = value.lower()
     plain = low.translate(SWAPS)
-    ranks, longest = _ranks()
+    longest = max(map(len, _ranks())) if ranks is None else WORD_LONGEST
+    ranks = _ranks() if ranks is None else ranks
     near = _neighbours()
     each = math.log2(max(2, _alphabet(value)))
     best = [0.0] + [math.inf] * n
@@ -103,6 +123,9 @@ def guess_bits(value: str) -> float:
         if value[at].isdigit() and (match := DATE.match(value, at)):
             dates.setdefault(match.end(), []).append(at)
     same = dict.fromkeys(UNITS, 0)  # characters up to here that equal the one a unit before them
+    last: dict[str, int] = {}  # where three characters ended last
+    source = length = 0  # where the earlier copy of the last ``length`` characters ends
+    between: set[str] = set()
     run = walk = order = 0  # where the current run of one character, keyboard walk, and sequence begin
     for end in range(1, n + 1):
         here = value[end - 1]
@@ -116,13 +139,18 @@ def guess_bits(value: str) -> float:
         for start in range(max(0, end - longest), end):
             word = low[start:end]
             rank = ranks.get(word)
-            swapped = False
+            swapped = 0
             if rank is None and plain[start:end] != word:
                 rank = ranks.get(plain[start:end])
-                swapped = True
-            if rank is not None and end - start >= 3:
-                bits = math.log2(rank + 1) + swapped + (value[start:end] != word)
+                swapped = sum(a != b for a, b in zip(word, plain[start:end], strict=True))
+            if rank is None:
+                continue
+            if end - start >= 3 or not (low[start - 1 : start].isalpha() or low[end : end + 1].isalpha()):
+                bits = math.log2(rank + 1) + swapped + _spelling_bits(value[start:end], word)
                 cost = min(cost, best[start] + bits + joint)
+        if end > 1 and here in BETWEEN and all(c.isalpha() or c in BETWEEN for c in (before, value[end : end + 1])):
+            cost = min(cost, best[end - 1] + BETWEEN_BITS[here in between])
+            between.add(here)
         for start in dates.get(end, ()):
             cost = min(cost, best[start] + math.log2(366 * 150 if end - start > 4 else 150) + joint)
         if end - run >= 3:
@@ -136,6 +164,15 @@ def guess_bits(value: str) -> float:
             if times > 1:
                 # The first copy as it was segmented, then how often it comes again.
                 cost = min(cost, best[end - (times - 1) * unit] + math.log2(times) + joint)
+        if end >= 3:
+            ended = value[end - 3 : end]
+            if source and value[source] == here:
+                source, length = source + 1, length + 1
+            else:
+                source, length = last.get(ended, 0), 3
+            last[ended] = end
+            if source:
+                cost = min(cost, best[end - length] + math.log2(end) + math.log2(length) + joint)
         best[end] = cost
     return best[n]
 
@@ -161,22 +198,78 @@ def base_spans(text: str) -> list[Span]:
     return in_order(found)
 
 
-def guess_spans(text: str, base: Sequence[Span], least_bits: float = GUESS_BITS) -> list[Span]:
-    """Values in credential contexts that cost ``least_bits`` or more and are not inside a base span."""
+def guess_values(text: str, base: Sequence[Span]) -> list[tuple[int, int]]:
+    """Where values in credential contexts begin and end that are long enough and not inside a base span."""
     low = text.lower()
     if not any(word in low for word in CONTEXT_NEAR):
         return []
+    found = (match.span(match.lastindex) for match in CONTEXT.finditer(text))
+    return [
+        (start, end)
+        for start, end in found
+        if end - start >= GUESS_LEAST and not any(span.start <= start and end <= span.end for span in base)
+    ]
+
+
+def guess_spans(
+    text: str, base: Sequence[Span], least_bits: float = GUESS_BITS, ranks: Mapping[str, int] | None = None
+) -> list[Span]:
+    """Values in credential contexts that cost ``least_bits`` or more and are not inside a base span.
+
+    Values of ``PROSE_WORDS`` words or more also have to cost ``PROSE_BITS`` for each, or they are taken for a sentence.
+    """
     found = []
-    for match in CONTEXT.finditer(text):
-        group = match.lastindex
-        start, end = match.span(group)
-        if end - start < GUESS_LEAST or any(span.start <= start and end <= span.end for span in base):
-            continue
-        if guess_bits(match[group]) >= least_bits:
+    for start, end in guess_values(text, base):
+        n_words = len(text[start:end].split())
+        least = max(least_bits, PROSE_BITS * n_words) if n_words >= PROSE_WORDS else least_bits
+        if guess_bits(text[start:end], ranks) >= least:
             found.append(Span("guess", start, end))
     return found
 
 
+def _value_words(spark: SparkSession):
+    """A column function: the runs of letters of all ``guess_values`` of a text, in lower case."""
+
+    def words(text):
+        if not text:
+            return []
+        values = guess_values(text, base_spans(text))
+        return sorted({word for start, end in values for word in LETTERS.findall(text[start:end].lower())})
+
+    return text_function(spark, lambda: lambda texts: pa.array([words(t) for t in texts], pa.list_(pa.string())), "array<string>")
+
+
+def word_ranks(
+    docs: DataFrame, text_column: str = "text", most: int = WORDS_MOST, least_texts: int = WORD_TEXTS
+) -> dict[str, int]:
+    """Words of the corpus by rank, that is one more than how many words more texts hold.
+
+    All texts count, without what follows credential contexts, so that a repeated secret does not become a word. The
+    most frequent words come to the driver, ``most`` or fewer as words of equal count stay together; of the others
+    only whole runs of letters in ``guess_values``, again ``most`` of them. A word in fewer than ``least_texts``
+    texts has no rank and is guessed as its parts. ``WORDS`` keep their rank where it is less.
+    """
+    plain = F.col(text_column)
+    for pattern in (CONTEXT, ASSIGN, ACCESS):
+        plain = F.regexp_replace(plain, ("(?i)" if pattern.flags & re.IGNORECASE else "") + pattern.pattern, " ")
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(WORD_RUN), F.lit(0)))).alias("word"))
+    counts = stored(words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_texts), "words")
+    rank_of, before, least = {}, 0, None
+    for n, count in sorted(counts.groupBy("n").agg(F.count("*")).collect(), reverse=True):
+        rank_of[n] = before + 1
+        before += count
+        if before <= most:
+            least = n
+    kept = [] if least is None else counts.where(F.col("n") >= least).collect()
+    if before > most:
+        rest = counts if least is None else counts.where(F.col("n") < least)
+        asked = docs.select(F.explode(_value_words(docs.sparkSession)(text_column)).alias("word")).distinct()
+        tail = rest.join(stored(asked, "value-words"), "word", "left_semi")
+        kept += tail.orderBy(F.desc("n"), "word").limit(most).collect()
+    ranks = {row.word: rank_of[row.n] for row in kept}
+    return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in _ranks().items()}
+
+
 def in_order(spans: Sequence[Span]) -> list[Span]:
     return sorted(spans, key=lambda span: (span.start, KINDS.index(span.kind), span.end))
 
@@ -194,13 +287,21 @@ def redact(text: str, spans: Sequence[Span], mark: str = "[secret]") -> str:
 FOUND = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,n_guess:bigint,base:string,spans:string>"
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_bits: float = GUESS_BITS) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    least_bits: float = GUESS_BITS,
+    ranks: Mapping[str, int] | None = None,
+) -> DataFrame:
     """``id, n_assign, n_access, n_hex, n_guess, base, spans`` of every row of ``docs``.
 
     ``base`` and ``spans`` list ``kind:start:end`` (code points, end exclusive) by start, then kind, joined by
     commas: the base patterns' spans, and all spans. NULL and empty texts have none. Repeated rows stay; other columns
-    are not looked at; an empty table gives an empty result.
+    are not looked at; an empty table gives an empty result. ``ranks`` are what words cost; without them, the
+    ``word_ranks`` of ``docs``.
     """
+    known = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_column) if ranks is None else dict(ranks))
 
     def make():
         kinds = [pa.field(f"n_{kind}", pa.int64()) for kind in KINDS]
@@ -210,7 +311,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             rows = []
             for text in texts:
                 base = base_spans(text or "")
-                spans = in_order([*base, *guess_spans(text or "", base, least_bits)])
+                spans = in_order([*base, *guess_spans(text or "", base, least_bits, known.value)])
                 counts = [sum(span.kind == kind for span in spans) for kind in KINDS]
                 rows.append((*counts, ",".join(map(str, base)), ",".join(map(str, spans))))
             columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
@@ -225,15 +326,23 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
 
 def without_secrets(
-    docs: DataFrame, text_column: str = "text", least_bits: float = GUESS_BITS, mark: str = "[secret]"
+    docs: DataFrame,
+    text_column: str = "text",
+    least_bits: float = GUESS_BITS,
+    mark: str = "[secret]",
+    ranks: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """``docs`` with every secret in its texts replaced by ``mark``; NULL stays NULL, other columns as they are."""
+    """``docs`` with every secret in its texts replaced by ``mark``; NULL stays NULL, other columns as they are.
+
+    ``ranks`` as in ``scan``.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_column) if ranks is None else dict(ranks))
 
     def clean(text):
         if not text:
             return text
         base = base_spans(text)
-        spans = in_order([*base, *guess_spans(text, base, least_bits)])
+        spans = in_order([*base, *guess_spans(text, base, least_bits, known.value)])
         return redact(text, spans, mark) if spans else text
 
     def make():

@@ -505,6 +505,40 @@ def test_values_within_the_guess_budget_of_mixed_classes():
     assert secrets.guess_spans("pwd: 83920174 pwd: Password12 pwd: aaaaaaaaaaaa", []) == []
 
 
+def test_words_of_the_corpus_are_no_secrets(spark):
+    """Ranks come from all texts; what follows a credential context does not count."""
+    prose = "the terms must be at least as international as a configuration that users get by value"
+    rows = [(i, prose) for i in range(30)] + [(i, "must be at least the terms in characters eight") for i in range(30, 60)]
+    rows += [(i, "pwd: kqxzvbrtjw") for i in range(60, 80)]
+    values = ["credentials: international", 'Password: "must be at least eight characters"', "access_key = configuration.get_value"]
+    rows += list(enumerate(values + ['passphrase: "kqx zvbrt jwpl mfgh"', "credentials: unheardofletters"], 80))
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    ranks = secrets.word_ranks(frame)
+    assert ranks["must"] == ranks["least"] == 1 and ranks["international"] > ranks["must"]
+    assert not {"kqxzvbrtjw", "unheardofletters"} & set(ranks)
+    found = {r.id: r.spans for r in secrets.scan(frame).collect()}
+    assert [i for i in found if found[i]] == [*range(60, 80), 83, 84]
+    cleaned = {r.doc_id: r.text for r in secrets.without_secrets(frame).collect()}
+    assert [cleaned[80 + i] for i in range(3)] == values and cleaned[60] == "pwd: [secret]"
+
+
+@pytest.mark.parametrize("most", [0, 2])
+def test_words_beyond_the_broadcast_ones(spark, most):
+    rows = [(i, "and the") for i in range(9)] + [(i, "rare") for i in range(6)] + [(i, "other") for i in range(6)]
+    rows += [(9, "credentials: rare-thing")]
+    ranks = secrets.word_ranks(spark.createDataFrame(rows, "doc_id int, text string"), most=most, least_texts=5)
+    assert ranks.get("rare") == (3 if most else None) and "other" not in ranks
+    assert ranks["the"] == (1 if most else secrets.WORDS.index("the") + 1)
+
+
+def test_copies_of_any_length():
+    pick = random.Random(7)
+    unit = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=17))
+    once = secrets.guess_bits(unit)
+    assert secrets.guess_bits("!" + unit * 2) < once + 35
+    assert secrets.guess_bits(unit * 50) < once + 35
+
+
 def test_secrets_query(spark, texts):
     found = {r.doc_id: r for r in QUERIES["op10_secrets"].run(spark, SF_DIR).collect()}
     assign = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
