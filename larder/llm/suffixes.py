@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,12 +12,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.texts import let_workers_import, stored
+from larder.llm.texts import let_workers_import, stored, text_function
 
 # Odd bases of two polynomial hashes modulo 2^64; both together tell runs of words apart.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 # Words whose hashes a task remembers.
 REMEMBERED_WORDS = 500_000
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def anchor_words(passage: int) -> int:
@@ -76,8 +78,9 @@ def _keys(text: str) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2")]
 
 
-def _different() -> Column:
-    return (F.min("k1") < F.max("k1")) | (F.min("k2") < F.max("k2"))
+def _different(inside: bool = False) -> Column:
+    texts = (F.min("k1") < F.max("k1")) | (F.min("k2") < F.max("k2"))
+    return texts | (F.min("at") < F.max("at")) if inside else texts
 
 
 def sparse_suffixes(texts: DataFrame, passage: int) -> DataFrame:
@@ -120,6 +123,94 @@ def extended(texts: DataFrame, passage: int) -> DataFrame:
     )
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """``k1, k2, least, copies``: every text with its least id."""
+    keyed = rows.where("text IS NOT NULL").select("id", *_keys("text"))
+    return stored(keyed.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "copies")
+
+
+def repeated_runs(rows: DataFrame, copies: DataFrame, passage: int, inside: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``h1, h2, k1, k2, at`` of runs, and ``h1, h2`` of those found in different texts or, if ``inside``, places."""
+    suffixes = stored(sparse_suffixes(rows.where("text IS NOT NULL"), passage), "suffixes")
+    # Stored, so that the joins begin with plain shuffles of both sides, which Spark can split where skewed.
+    shared = suffixes.groupBy("anchor").agg(_different(inside).alias("different")).where("different").select("anchor")
+    shared = stored(shared, "shared")
+    marks = suffixes.join(shared, "anchor", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("marks"))
+
+    # One row of each text is enough, and rows with other ids need not go where it goes.
+    one = marks.join(copies, ["k1", "k2"]).select("k1", "k2", "least", "marks")
+    sources = rows.select(F.col("id"), *_keys("text"), "text").alias("d")
+    same = (F.col("d.k1") == F.col("o.k1")) & (F.col("d.k2") == F.col("o.k2"))
+    chosen = sources.join(one.alias("o"), same & F.col("d.id").eqNullSafe(F.col("o.least"))).select(
+        "d.k1", "d.k2", "d.text", "o.marks"
+    )
+    runs = stored(extended(chosen, passage), "runs")
+    again = runs.groupBy("h1", "h2").agg(_different(inside).alias("different")).where("different").select("h1", "h2")
+    return runs, stored(again, "again")
+
+
+def without_words(text: str, spans: list[dict]) -> str:
+    """``text`` without the words of ``spans`` (in order, by start) and the white space after them, or at the end before."""
+    words = [match.span() for match in WORD.finditer(text)]
+    parts, at, done = [], 0, 0
+    for span in spans:
+        start, end = max(span["start"], done), span["end"]
+        if start >= end:
+            continue
+        parts.append(text[at : words[start][0]])
+        at, done = words[end][0] if end < len(words) else len(text), end
+    if done and done == len(words):
+        return "".join(parts).rstrip(" \t\n\x0b\x0c\r")
+    return "".join([*parts, text[at:]])
+
+
+def without_repeats(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", passage: int = 50
+) -> DataFrame:
+    """``docs`` with each run of ``passage`` words only where it comes first; rows and other columns stay.
+
+    First is the occurrence in the row with the least id (NULL first; of repeated rows, one), and there at the least
+    position. Every later occurrence, in other rows or the same one, is cut, but not where it overlaps the first occurrence.
+    So every cut word has an equal one that stays, in an earlier copy. Of rows with equal texts of ``passage`` words or more the first
+    stays and the others become empty. Words left next to each other by a cut are not compared again.
+    """
+    let_workers_import(docs.sparkSession)
+    whole = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("d")
+    numbered = stored(docs.select(whole, F.monotonically_increasing_id().alias("row")), "numbered")
+    text = F.col(f"d.`{text_column}`")
+    rows = numbered.select(F.struct(F.col(f"d.`{id_column}`").alias("id"), "row").alias("id"), text.alias("text"))
+    copies = _copies(rows)
+    runs, again = repeated_runs(rows, copies, passage, inside=True)
+
+    found = runs.join(again, ["h1", "h2"], "left_semi").join(copies.select("k1", "k2", "least"), ["k1", "k2"])
+    found = stored(found, "found")
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct("least", "k1", "k2", "at")).alias("first"))
+    first = stored(first, "first")
+    here = (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
+    start = F.when(here, F.greatest("at", F.col("first.at") + passage)).otherwise(F.col("at"))
+    later = found.join(first, ["h1", "h2"]).where(~(here & (F.col("at") == F.col("first.at"))))
+    span = F.struct(start.alias("start"), (F.col("at") + passage).alias("end"))
+    spans = stored(later.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(span)).alias("spans")), "spans")
+
+    n_words = F.coalesce(F.regexp_count(text, F.lit(WORD.pattern)), F.lit(0))
+    of_text = stored(copies.join(spans, ["k1", "k2"], "left").where("copies > 1 OR spans IS NOT NULL"), "of-text")
+    joined = numbered.select("d", "row", *_keys(text)).join(of_text, ["k1", "k2"], "left")
+    everything = F.array(F.struct(F.lit(0).alias("start"), n_words.alias("end")))
+    cut = F.when(text.isNull() | (n_words < passage), None).when(F.col("least.row") != F.col("row"), everything)
+    cut = cut.otherwise(F.col("spans"))
+
+    def make():
+        def work(pairs):
+            return pa.array([without_words(p["text"], p["cut"]) if p["cut"] else p["text"] for p in pairs], pa.string())
+
+        return work
+
+    cleaned = text_function(docs.sparkSession, make, "string")(F.struct(text.alias("text"), cut.alias("cut")))
+    return joined.select(
+        *(cleaned.alias(name) if name == text_column else F.col(f"d.`{name}`").alias(name) for name in docs.columns)
+    )
+
+
 def repeated_passages(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", passage: int = 50
 ) -> DataFrame:
@@ -127,7 +218,7 @@ def repeated_passages(
 
     Words lie between ASCII white space and count as they are written. ``spans`` are the repeated words as ``start:end``
     (counted from 0, end exclusive), overlapping and touching runs joined, in order and separated by commas;
-    ``n_repeated`` is how many words they hold. A run that only comes twice in one row is not repeated. In a row whose
+    ``n_repeated`` is how many words they hold. A run that only comes twice in one row is not listed; ``without_repeats`` cuts it. In a row whose
     text another row has as well, all words are, if there are ``passage`` of them. NULL, empty and shorter texts give no row;
     repeated rows give one each; other columns are not looked at; an empty table gives an empty result.
 
@@ -139,24 +230,8 @@ def repeated_passages(
     """
     let_workers_import(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    suffixes = stored(sparse_suffixes(rows.where("text IS NOT NULL"), passage), "suffixes")
-    # Stored, so that the joins begin with plain shuffles of both sides, which Spark can split where skewed.
-    shared = suffixes.groupBy("anchor").agg(_different().alias("different")).where("different").select("anchor")
-    shared = stored(shared, "shared")
-    marks = suffixes.join(shared, "anchor", "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("marks"))
-
-    keyed = rows.where("text IS NOT NULL").select("id", *_keys("text"))
-    copies = stored(keyed.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "copies")
-    # One row of each text is enough, and rows with other ids need not go where it goes.
-    one = marks.join(copies, ["k1", "k2"]).select("k1", "k2", "least", "marks")
-    sources = rows.select(F.col("id"), *_keys("text"), "text").alias("d")
-    same = (F.col("d.k1") == F.col("o.k1")) & (F.col("d.k2") == F.col("o.k2"))
-    chosen = sources.join(one.alias("o"), same & F.col("d.id").eqNullSafe(F.col("o.least"))).select(
-        "d.k1", "d.k2", "d.text", "o.marks"
-    )
-    runs = stored(extended(chosen, passage), "runs")
-    again = runs.groupBy("h1", "h2").agg(_different().alias("different")).where("different").select("h1", "h2")
-    again = stored(again, "again")
+    copies = _copies(rows)
+    runs, again = repeated_runs(rows, copies, passage)
     starts = runs.join(again, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.collect_set("at").alias("starts"))
 
     of_text = copies.join(starts, ["k1", "k2"], "left").where("copies > 1 OR starts IS NOT NULL")

@@ -277,6 +277,41 @@ def test_passages_by_brute_force(spark, size):
     assert found == slow_passages(rows, size)
 
 
+def slow_without_repeats(rows, size):
+    """Runs in order of id and position; whatever is not the first of its kind is cut, but not over that one."""
+    first, out = {}, []
+    for doc, text in rows:
+        words = (text or "").split()
+        cut = set()
+        for i in range(len(words) - size + 1):
+            in_doc, at = first.setdefault(tuple(words[i : i + size]), (doc, i))
+            if (in_doc, at) != (doc, i):
+                cut.update(range(max(i, at + size) if in_doc == doc else i, i + size))
+        out.append((doc, None if text is None else " ".join(w for i, w in enumerate(words) if i not in cut)))
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 8])
+def test_first_copies_stay_by_brute_force(spark, size):
+    pick = random.Random(size)
+    rows = [(i, " ".join(pick.choice("abcde") for _ in range(pick.randint(0, 60)))) for i in range(40)]
+    rows += [(40, rows[3][1]), (41, None), (42, "x " * 29 + "x"), (43, "p q r s t u v w y z " * 3 + "end")]
+    frame = spark.createDataFrame(rows[::-1], "doc_id bigint, text string").repartition(3)
+    found = sorted(map(tuple, suffixes.without_repeats(frame, passage=size).collect()))
+    assert found == [(i, t.strip() if t else t) for i, t in slow_without_repeats(rows, size)]
+
+
+def test_repeats_inside_one_text_are_cut(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"a {words} b\n{words}  c", "x"), (1, f"a {words} b\n{words}  c", "x"), (2, f"{words}\nnew", "y"), (3, "", None)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, other string")
+    cleaned = suffixes.without_repeats(frame)
+    assert cleaned.columns == frame.columns
+    found = sorted(map(tuple, cleaned.select("doc_id", "text").collect()))
+    assert found == [(1, ""), (1, f"a {words} b\nc"), (2, "new"), (3, "")]
+    assert suffixes.without_repeats(frame.limit(0)).collect() == []
+
+
 def test_passages_query(spark, texts):
     found = sorted(map(tuple, QUERIES["op5_repeated_passages"].run(spark, SF_DIR).collect()))
     assert found == slow_passages(sorted(texts.items()), 50)
