@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from larder.llm import (
     decontaminate,
+    divergence,
+    filter_audit,
     language,
+    mixing,
     packing,
     quality_model,
     quality_rules,
@@ -159,3 +162,87 @@ def op2_quality_model(spark, sf_dir):
 def op8_token_counts(spark, sf_dir):
     """Pieces of every text under a unigram vocabulary."""
     return token_counts.token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query(r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    found AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM found GROUP BY ALL),
+    kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+    langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    every AS (SELECT lang, source, term, k.n AS lang_n, coalesce(c.n, 0) AS n
+        FROM groups JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+    shares AS (SELECT lang, source, term, n,
+        CAST(1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS HUGEINT) AS p,
+        CAST(1 + CAST(1000000000 AS HUGEINT) * (lang_n + 2) // (total + 2 * v) AS HUGEINT) AS q FROM every JOIN langs USING (lang)),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    apart AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+        FROM shares WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+        CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM apart) QUALIFY part = 'pair' OR rank <= 10""")
+def op11_divergence(spark, sf_dir):
+    """How far the words of each source are from those of the others of its language."""
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+    marks AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS bad FROM labels GROUP BY doc_id),
+    failed AS (SELECT part, good, bad, [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+        100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f FROM w LEFT JOIN marks USING (doc_id)),
+    counts AS (SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+        FROM failed GROUP BY ALL),
+    i AS (SELECT unnest(range(1, 6)) AS i),
+    orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e
+        WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+    steps AS (SELECT part, n, good, bad, f, o, s.i AS step, f[o[s.i]] AS fails,
+        len(list_filter(o[1:s.i - 1], lambda x: f[x])) > 0 AS gone, len(list_filter(f, lambda x: x)) AS n_fails
+        FROM counts, orders, i s)
+    SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', CAST(x AS INTEGER), 1)), '') AS filter_order,
+        CAST(step AS INTEGER) AS step,
+        CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+        CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS removed,
+        CAST(coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS BIGINT) AS redundant,
+        CAST(coalesce(sum(n) FILTER (WHERE fails AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+        CAST(coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(sum(bad) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS toxic_lost,
+        CAST(coalesce(sum(sum(n) FILTER (WHERE NOT gone AND fails)) OVER (PARTITION BY part, o[step]), 0) AS BIGINT) AS shapley
+    FROM steps GROUP BY part, o, step""")
+def op12_filter_audit(spark, sf_dir):
+    """What each of five filters removes, in every order they could run in."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+    totals AS (SELECT source, CAST(sum(size) AS HUGEINT) AS total FROM d GROUP BY source),
+    w AS (SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
+        sum(total) OVER () AS everything FROM totals),
+    -- Sources stop in the order of their size for their weight. What the others get for each weight after some have stopped is
+    -- num / (2 * den); the first source that this does not bring above its most is the first that does not stop.
+    f AS (SELECT *, 3 * everything - 4 * coalesce(sum(total) OVER before, 0) AS num,
+        sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS den FROM w
+        WINDOW before AS (ORDER BY total / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    level AS (SELECT CAST(num AS HUGEINT) AS num, CAST(den AS HUGEINT) AS den FROM f
+        WHERE weight * num <= 4 * total * den ORDER BY total / weight, source NULLS LAST LIMIT 1),
+    targets AS (SELECT source, total, total = 0 OR weight * num >= 4 * total * den AS stops,
+        CASE WHEN total = 0 THEN 0 WHEN stops THEN 2 ELSE weight * num END AS top,
+        CASE WHEN stops THEN 1 ELSE 2 * den * total END AS bottom,
+        CASE WHEN stops THEN CAST(2 * total AS DOUBLE)
+            ELSE CAST(weight AS DOUBLE) * CAST(num AS DOUBLE) / CAST(2 * den AS DOUBLE) END AS target,
+        CAST(concat('0x', substr(md5(concat('mix', CASE WHEN source IS NULL THEN '1' ELSE '0' END, coalesce(source, ''))), 1, 8)) AS HUGEINT)
+            * bottom // 4294967296 AS turn FROM w LEFT JOIN level ON true),
+    placed AS (SELECT d.*, t.* EXCLUDE (source), row_number() OVER (PARTITION BY d.source ORDER BY size DESC, doc_id NULLS FIRST) AS k
+        FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(total AS BIGINT) AS source_size, target,
+        CAST(size * ((k * top + turn) // bottom - ((k - 1) * top + turn) // bottom) AS BIGINT) AS taken FROM placed""")
+def op13_mixing(spark, sf_dir):
+    """How many words the mix of sources takes of each document."""
+    found = mixing.mixture(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "size", "source_size", "target", "taken")
