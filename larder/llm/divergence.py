@@ -19,9 +19,10 @@ SCALE = 1_000_000_000
 
 # Bytes of text that are split at a time (a longer text goes alone), and counted rows a task holds before it passes them on.
 TEXT_BYTES = 8 << 20
-HELD_ROWS = 500_000
-# Counts in a shard of a language, sources compared with all others in one task, and cells of a block of shares.
-SHARD_ROWS = 300_000
+HELD_ROWS = 1_000_000
+# Counts in a shard of a language (or the square of its sources, if that is more: what a shard gives out), sources
+# compared with all others in one task, and cells of a block of shares.
+SHARD_ROWS = 20_000
 TILE_SOURCES = 256
 BLOCK_CELLS = 1 << 20
 
@@ -224,7 +225,7 @@ def divergences(
         )
         .select(
             "*",
-            (1 + F.expr(f"lang_held div {SHARD_ROWS}")).alias("shards"),
+            (1 + F.expr(f"lang_held div greatest({SHARD_ROWS}, sources * sources)")).alias("shards"),
             (1 + F.expr(f"(sources - 1) div {TILE_SOURCES}")).alias("tiles"),
         )
     )
