@@ -1,0 +1,307 @@
+"""Source divergence, filter interactions and mixing against brute force, and on odd tables."""
+
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import permutations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from larder.llm import divergence, filter_audit, mixing
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, id string, term string, n int, docs int, part string, mask int, "
+    "size bigint, row string, copies int, place int, key string, value int, rank int, total int"
+)
+FILLER = ("x", "y", 1, 2, "z", 3, 4, "r", 5, 6, "k", 7, 8, 9)
+LONG = "alpha Beta GAMMA delta " * 60_000
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*row, *FILLER) for row in rows], SCHEMA)
+
+
+def odd_rows():
+    rows = [(i, t, "en", "a") for i, t in enumerate([None, "", " \n\t ", "one", "one", "Ünï çødé", "A#B", LONG, LONG])]
+    rows += [(20 + i, "one two three " * 30, "en", "b" if i % 3 else None) for i in range(12)]
+    rows += [(40 + i, f"Word{i} and more", None, "a") for i in range(12)]
+    rows += [(20, "one two three " * 30, "en", None)] * 2  # repeated rows
+    rows += [(None, "one", "en", "b"), (None, "one", "en", ""), (None, None, None, None)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source")
+    return [tuple(r) for r in docs.collect()]
+
+
+# ---------------------------------------------------------------- divergence
+
+
+def slow_divergences(rows, least=10, top=10):
+    counts, docs, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for _, text, lang, source in rows:
+        group = (lang or "", source or "")
+        groups.add(group)
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        found = [t for t in re.split(r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", low) if t]
+        counts[group].update(found)
+        docs[group[0]].update(set(found))
+    out = []
+    for lang in {lang for lang, _ in groups}:
+        kept = {t for t, n in docs[lang].items() if n >= least}
+        own = sorted(g for g in groups if g[0] == lang)
+
+        def share(counter, total):
+            return {t: 1 + 10**9 * (counter[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        shares = {g: share(counts[g], sum(counts[g][t] for t in kept)) for g in own}
+        whole = sum((counts[g] for g in own), Counter())
+        q = share(whole, sum(whole[t] for t in kept))
+        for g in own:
+            p = shares[g]
+            pairs = [
+                (sum((p[t] - shares[h][t]) ** 2 // (p[t] + shares[h][t]) for t in kept), h[1]) for h in own if h != g
+            ]
+            terms = [((p[t] - q[t]) ** 2 // (p[t] + q[t]), t) for t in kept if counts[g][t] and p[t] > q[t]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                items = sorted(items, key=lambda x: (-x[0], x[1].encode()))
+                items = items[:top] if part == "term" else items
+                out += [(*g, part, item, value, rank) for rank, (value, item) in enumerate(items, 1)]
+    return sorted(out)
+
+
+def found_divergences(docs):
+    return sorted(tuple(r) for r in divergence.divergences(docs).select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+def test_divergences_by_brute_force(spark, given):
+    found = found_divergences(table(spark, given))
+    assert found == slow_divergences(given) and {r[2] for r in found} == {"pair", "term"}
+
+
+def test_divergences_in_small_pieces(spark, given, monkeypatch):
+    """Shards, tiles and blocks change nothing."""
+    for name, value in (("SHARD_ROWS", 50), ("TILE_SOURCES", 3)):
+        monkeypatch.setattr(divergence, name, value)
+    assert found_divergences(table(spark, given)) == slow_divergences(given)
+
+
+def test_divergences_of_odd_rows(spark):
+    rows = odd_rows()
+    found = found_divergences(table(spark, rows))
+    assert found == slow_divergences(rows)
+    assert any(r[:2] == ("", "") for r in found)
+    assert found_divergences(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_divergence_of_languages_that_keep_no_term(spark):
+    rows = [(1, "one", "en", "a"), (2, None, "en", "b"), (3, "x", "de", "c")]
+    assert found_divergences(table(spark, rows)) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+
+
+def test_partial_counts_add_up(monkeypatch):
+    """Many batches, cut and merged within the task, count like one."""
+    rows = [("en", f"s{i % 3}", f"a b{i % 7} Ünï c-{i}") for i in range(500)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 40], strict=True)], names=["lang", "source", "text"])
+        for i in range(0, 500, 40)
+    ]
+    whole = divergence._merged([pa.Table.from_batches(divergence._partial_counts(iter(batches)))])
+    monkeypatch.setattr(divergence, "HELD_ROWS", 40)
+    monkeypatch.setattr(divergence, "TEXT_BYTES", 50)
+    pieces = list(divergence._partial_counts(iter(batches)))
+    assert len(pieces) > 3
+    by = [("lang", "ascending"), ("source", "ascending"), ("term", "ascending")]
+    assert divergence._merged([pa.Table.from_batches(pieces)]).sort_by(by).equals(whole.sort_by(by))
+
+
+def test_shares_are_exact_beyond_64_bits():
+    n, bottom = np.array([0, 10**13, 7 * 10**14]), np.array([3, 10**13 + 9, 8 * 10**15])
+    assert divergence.shares(n, bottom).tolist() == [1 + 10**9 * (a + 2) // b for a, b in zip(n.tolist(), bottom.tolist(), strict=True)]
+
+
+# ---------------------------------------------------------------- filter interactions
+
+
+def slow_masks(rows):
+    first = {}
+    for doc_id, text, _, _ in rows:
+        if doc_id is not None:
+            first[text or ""] = min(doc_id, first.get(text or "", doc_id))
+    masks = []
+    for doc_id, text, _, source in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = "A" * (len(words) < 50) + "B" * (100 * len(set(words)) < 65 * len(words))
+        failed += "C" * (100 * len(re.findall("[A-Z]", text)) > 5 * len(text)) + "D" * bool(re.search("[#$%&*|]", text))
+        failed += "E" * (doc_id is not None and doc_id > first[text])
+        masks.append((source or "", failed))
+    return masks
+
+
+def slow_audit(rows, labels):
+    out = {}
+    masks = slow_masks(rows)
+    for part in {source for source, _ in masks}:
+        shapley = Counter()
+        for order in permutations("ABCDE"):
+            for step, here in enumerate(order, 1):
+                row = Counter()
+                for (source, failed), (doc_id, *_) in zip(masks, rows, strict=True):
+                    if source != part:
+                        continue
+                    before = any(f in failed for f in order[: step - 1])
+                    removed = here in failed and not before
+                    row["kept"] += not before and here not in failed
+                    row["removed"] += removed
+                    row["redundant"] += here in failed and before
+                    row["unique_fails"] += failed == here
+                    row["good_lost"] += removed and (doc_id, "quality") in labels
+                    row["toxic_lost"] += removed and (doc_id, "toxic") in labels
+                shapley[here] += row["removed"]
+                out[part, "".join(order), step] = row
+        for (p, order, step), row in out.items():
+            if p == part:
+                row["shapley"] = shapley[order[step - 1]]
+    return out
+
+
+MEASURES = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_audit_by_brute_force(spark, given, odd):
+    rows = odd_rows() if odd else given[:150] + [(1000 + i, *given[i][1:]) for i in range(30)]
+    marks = [(r[0], i % 2, int(i % 5 == 0)) for i, r in enumerate(rows[::2])] + [(rows[0][0], 1, None), (None, 1, 1), (77777, 1, 1)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    held = {(i, name) for i, q, t in marks if i is not None for name, v in (("quality", q), ("toxic", t)) if v == 1}
+    expected = slow_audit(rows, held)
+    found = filter_audit.audit(table(spark, rows), labels).collect()
+    assert len(found) == len(expected) == 600 * len({r[3] or "" for r in rows})
+    for row in found:
+        assert [row[m] for m in MEASURES] == [expected[row.part, row.filter_order, row.step][m] for m in MEASURES]
+
+
+def test_audit_of_no_rows(spark):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert filter_audit.audit(spark.createDataFrame([], SCHEMA), labels).collect() == []
+    rows = [(1, "text", "en", "a")]
+    assert filter_audit.audit(table(spark, rows), labels).count() == 600
+
+
+def test_sketch_clears_unique_texts_and_only_those(spark, given):
+    rows = given + given[:50]
+    flags = filter_audit.text_flags(table(spark, rows), "doc_id", "text", "source").repartition(7)
+    copies = Counter(r[1] for r in rows)
+    for most, least_cleared in ((1 << 26, 0.99), (1 << 18, 0.0)):
+        seen = filter_audit.possible_repeats(flags, most).collect()
+        cleared = [r for r in seen if not r.again]
+        single = {r[0] for r in rows if copies[r[1]] == 1}
+        assert {r.id for r in cleared} <= single and len(cleared) >= least_cleared * len(single)
+
+
+def test_full_sketch_changes_no_mask(spark, given, monkeypatch):
+    rows = given + [(1000 + i, *given[i][1:]) for i in range(50)]
+    monkeypatch.setattr(filter_audit, "LEAST_CELLS", 8)
+    monkeypatch.setattr(filter_audit, "MOST_CELLS", 8)
+    monkeypatch.setattr(filter_audit, "BLOCK", 8)
+    monkeypatch.setattr(filter_audit.possible_repeats, "__defaults__", (8,))
+    found = Counter((r.source, r.mask) for r in filter_audit.full_masks(table(spark, rows)).collect())
+    expected = Counter((s, sum(1 << "ABCDE".index(f) for f in failed)) for s, failed in slow_masks(rows))
+    assert found == expected
+
+
+def test_sketch_counts_over_batches():
+    digests = [bytes([i]) * 32 for i in range(20)] + [bytes([3]) * 32]
+    sketch = filter_audit.Sketch(3 << 10)
+    for start in range(0, len(digests), 4):
+        sketch.add(filter_audit.cells(digests[start : start + 4], 1 << 10).ravel())
+    at = filter_audit.cells(digests, 1 << 10)
+    again = (sketch.more[at >> 3] >> (at & 7) & 1).all(axis=1)
+    assert [i for i, a in enumerate(again) if a] == [3, 20]
+
+
+# ---------------------------------------------------------------- mixing
+
+
+def slow_targets(rows, weights=(3, 1, 2), share=Fraction(3, 2), most=2):
+    sizes = Counter()
+    for _, text, _, source in rows:
+        sizes[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total = share * sum(sizes.values())
+    target = {s: total * weight[s] / sum(weight.values()) for s in order}
+    while True:
+        over = {s: target[s] - most * sizes[s] for s in order if target[s] > most * sizes[s]}
+        if not over:
+            return sizes, target
+        free = [s for s in order if s not in over and target[s] < most * sizes[s]]
+        for s in over:
+            target[s] = Fraction(most * sizes[s])
+        for s in free:
+            target[s] += sum(over.values()) * weight[s] / sum(weight[f] for f in free)
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_mixture_by_brute_force(spark, given, odd):
+    rows = odd_rows() if odd else given
+    sizes, targets = slow_targets(rows)
+    found = mixing.mixture(table(spark, rows)).collect()
+    assert Counter(r.id for r in found) == Counter(r[0] for r in rows)
+    by_size, taken, largest = defaultdict(list), Counter(), Counter()
+    source_of = {r[0]: r[3] for r in rows if r[0] is not None}
+    for r in found:
+        if r.id is None:
+            continue
+        source = source_of[r.id]
+        assert r.source_size == sizes[source] and abs(r.target - targets[source]) <= 1e-9 * max(1, r.target)
+        assert r.taken == r.copies * r.size and 0 <= r.copies <= 2
+        taken[source] += r.taken
+        largest[source] = max(largest[source], r.size)
+    if not odd:
+        assert all(abs(taken[s] - targets[s]) <= largest[s] for s in targets)
+
+
+def test_mixture_reruns_agree(spark, given):
+    runs = [
+        sorted((r.id, r.copies) for r in mixing.mixture(table(spark, given).repartition(n)).collect()) for n in (1, 5, 16)
+    ]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_mix_holds_each_row_as_often_as_taken(spark, given):
+    docs = table(spark, given)
+    often = {r.id: r.copies for r in mixing.mixture(docs).collect()}
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns
+    assert Counter(r.doc_id for r in mix.collect()) == Counter({i: n for i, n in often.items() if n})
+
+
+def test_mixture_edges(spark):
+    assert mixing.mixture(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert mixing.mixed(spark.createDataFrame([], SCHEMA)).collect() == []
+    wordless = [(1, None, "en", "a"), (2, " ", "en", None)]
+    assert [(r.size, r.target, r.taken) for r in mixing.mixture(table(spark, wordless)).collect()] == [(0, 0.0, 0)] * 2
+    # One source can give no more than twice its size, and '' and NULL are two sources.
+    rows = [(i, "w " * 10, "en", s) for i, s in enumerate(["", None] * 40)]
+    found = mixing.mixture(table(spark, rows)).collect()
+    assert {(r.source_size, r.target) for r in found} == {(400, 800.0), (400, 400.0)}
+    assert sum(r.taken for r in found) == 1200
+
+
+def test_expected_copies_of_many_sources(spark):
+    rows = [(i, "w " * (1 + i % 13), "en", f"s{i % 50:02d}" if i % 50 else None) for i in range(900)]
+    sizes, targets = slow_targets(rows)
+    found = mixing.mixture(table(spark, rows)).collect()
+    got = {rows[r.id][3]: r.target for r in found}
+    assert all(abs(got[s] - targets[s]) < 1e-6 for s in targets)
+    taken = Counter()
+    for r in found:
+        taken[rows[r.id][3]] += r.taken
+    assert all(abs(taken[s] - targets[s]) <= 13 for s in targets)
