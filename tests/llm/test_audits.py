@@ -112,7 +112,7 @@ def test_partial_counts_add_up(monkeypatch):
         for i in range(0, 500, 40)
     ]
     whole = divergence._merged([pa.Table.from_batches(divergence._partial_counts(iter(batches)))])
-    monkeypatch.setattr(divergence, "HELD_ROWS", 40)
+    monkeypatch.setattr(divergence, "HELD_ROWS", 25)
     monkeypatch.setattr(divergence, "TEXT_BYTES", 50)
     pieces = list(divergence._partial_counts(iter(batches)))
     assert len(pieces) > 3
