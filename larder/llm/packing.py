@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from larder.llm.texts import let_workers_import
-from larder.llm.tokens import IDS, default_tokenizer, encoder
+from larder.llm.tokens import IDS, default_tokenizer, encoder, in_runs, with_end
 from larder.sources.shared import scratch_path
 
 
@@ -39,21 +39,21 @@ def encoded(
         ]
     )
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
-    end = np.array([end_id], IDS).tobytes()
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts_to_ids = encoder(vocabulary).encode
+        texts_to_ids = encoder(vocabulary).ids
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                some = batch.slice(start, 100)
-                ids = [raw + end for raw in texts_to_ids(some.column(1).to_pylist())]
-                n = [len(raw) // 4 for raw in ids]
+            for start, n_texts in in_runs(batch.column(1)):
+                some = batch.slice(start, n_texts)
+                ids, n = with_end(*texts_to_ids(some.column(1)), end_id)
                 ends = at + np.cumsum(n)
-                values = [[part] * len(n), (ends - n).tolist(), some.column(0).to_pylist(), n, ids]
+                bounds = np.concatenate(([0], IDS.itemsize * np.cumsum(n))).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), n_texts, [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
+                values = [np.full(n_texts, part, np.int32), ends - n, some.column(0), n, raw]
                 at = int(ends[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, f.type) for v, f in zip(values, arrow, strict=True)], schema=arrow
+                    [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(values, arrow, strict=True)],
+                    schema=arrow,
                 )
 
     path = scratch_path(spark, "ids")
