@@ -24,6 +24,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lookback-days", type=int, default=0)
     parser.add_argument("--strict-durations", action="store_true", help="fail on unreadable durations")
     parser.add_argument("--new-files-only", action="store_true", help="files never change once they are there")
+    parser.add_argument("--ledger", help="where loaded files are written down, so that a delta reads just the others")
+    parser.add_argument("--snapshots", action="store_true", help="readers see a load whole or not at all")
+    parser.add_argument("--merge-key", action="append", default=[], help="rows with the same key replace one another")
     parser.add_argument("--stage-by-run", action="store_true", help="make repeated attempts safe")
     parser.add_argument("--clustered", action="store_true", help="input already arrives by month")
     parser.add_argument(
@@ -57,6 +60,9 @@ def main(arguments: list[str] | None = None) -> None:
         clustered=options.clustered,
         strict_durations=options.strict_durations,
         new_files_only=options.new_files_only,
+        ledger_path=options.ledger,
+        snapshots=options.snapshots,
+        merge_keys=tuple(options.merge_key),
         reader_options=dict(option.split("=", 1) for option in options.reader_option),
     )
     ingested, names = run_recipes(spark, job)

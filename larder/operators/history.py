@@ -108,7 +108,8 @@ def follow_up(
 
     ``finished`` holds history rows plus ``new_watermark``, the largest date the run loaded. A
     delta never moves the watermark back and keeps it when it loaded nothing; without any
-    watermark the next load is a full one again.
+    watermark the next load is a full one again. A ``new_snapshot`` column, if there is one, is stored as the second
+    filter, under the name ``snapshot``.
 
     The new id is one above the pipeline's highest; only pipelines in ``finished`` are looked up, and
     ``finished`` holds one run of each.
@@ -130,6 +131,9 @@ def follow_up(
         "filter_col2_name": F.lit(None),
         "filter_col2_value": F.lit(None),
     }
+    if "new_snapshot" in finished.columns:
+        values["filter_col2_name"] = F.when(F.col("new_snapshot").isNotNull(), "snapshot")
+        values["filter_col2_value"] = F.col("new_snapshot")
     return named.select(
         *[
             values.get(field.name, F.col(field.name)).cast(field.dataType).alias(field.name)

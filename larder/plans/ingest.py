@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators import history as runs
+from larder.operators.merge import latest_per_key
 from larder.sources.history_table import HistoryTable
-from larder.sources.lake import write_lake
+from larder.sources.lake import merge_lake, write_lake
+from larder.sources.ledger import FileLedger
+from larder.sources.snapshots import snapshot_path, stored_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -26,6 +29,14 @@ class Ingested:
     watermark: str | None = None
 
 
+@dataclass(frozen=True)
+class Merge:
+    """Rows alike in ``keys`` replace one another; the greatest by ``order`` stays."""
+
+    keys: Sequence[str]
+    order: Sequence[str]
+
+
 def ingest(
     history: HistoryTable,
     etl_name: str,
@@ -36,6 +47,10 @@ def ingest(
     clustered: bool = False,
     lookback_days: int = 0,
     load_new: Callable[[str, datetime], DataFrame] | None = None,
+    ledger: FileLedger | None = None,
+    load_files: Callable[[list[str]], DataFrame] | None = None,
+    snapshots: bool = False,
+    merge: Merge | None = None,
 ) -> Ingested:
     """Runs a pipeline once.
 
@@ -51,7 +66,24 @@ def ingest(
 
     A delta calls ``load_new`` instead of ``load`` if given, with the mark and the start of the run before,
     so that older files can stay unread.
+
+    With a ``ledger``, ``load_files`` is called instead with the paths that the run has to read: all files for a full load,
+    and for a delta those that no finished run has loaded, whatever their rows' dates. Each file is loaded once, late
+    and undated rows included, so the table holds what a full load would give.
+
+    With ``snapshots`` the table is a folder of snapshots: a full load writes a new one, a delta a run folder inside
+    the current one, and the history row makes either visible to ``read_current``.
+
+    With ``merge`` rows replace those of the same key, in a full load and in deltas (``merge_lake``).
     """
+    if ledger and not load_files:
+        raise ValueError("a ledger needs a function that loads its files")
+    if ledger and (load_new or lookback_days):
+        raise ValueError("a ledger decides which files are read, so it goes with no lookback and no times of files")
+    if snapshots and (stage_by_run or lookback_days or merge):
+        raise ValueError("snapshots keep their runs apart, so rows are neither staged again nor replaced")
+    if merge and (stage_by_run or lookback_days):
+        raise ValueError("rows replaced by key are neither staged by run nor looked back for")
     if lookback_days and (stage_by_run or load_new):
         raise ValueError("a lookback replaces months, for which it needs all input and no run folders")
     began = datetime.now(timezone.utc)
@@ -74,23 +106,32 @@ def ingest(
         raise ValueError(f"run {run.id} of {etl_name} marks {run.filter_col1_name}, not {watermark_column}")
 
     start = None if run.load_mode == "full" else run.stored_watermark
-    if start is None:
-        rows, mode = load(None), "overwrite"
+    target, folder = lake_path, run.id if stage_by_run else None
+    base = run.id if start is None else stored_snapshot(run)
+    if snapshots:
+        if base is None:
+            raise ValueError(f"run {run.id} of {etl_name} has no snapshot to add to; load in full first")
+        target, folder = snapshot_path(lake_path, base), run.id
+    mode = "overwrite" if start is None else "append"
+    if ledger:
+        rows = load_files(ledger.claim(etl_name, run.id, full=start is None))
+    elif start is None:
+        rows = load(None)
     elif lookback_days:
         rows, mode = load(before_month(start, lookback_days)), "replace"
     elif load_new:
-        rows, mode = load_new(start, run.run_date), "append"
+        rows = load_new(start, run.run_date)
     else:
-        rows, mode = load(start), "append"
-    loaded = write_lake(
-        rows,
-        lake_path,
-        mode,
-        run_id=run.id if stage_by_run else None,
-        clustered=clustered,
-        observe=F.max(watermark_column),
-    )
+        rows = load(start)
+    highest = F.max(watermark_column)
+    if merge and mode == "append":
+        loaded = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=highest)
+    else:
+        rows = latest_per_key(rows, merge.keys, merge.order) if merge else rows
+        loaded = write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=highest)
     finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
+    if snapshots:
+        finished = finished.withColumn("new_snapshot", F.lit(str(base)))
     history.append(runs.follow_up(table, finished, F.lit(began).cast("timestamp")))
     marks = [mark for mark in (start, loaded) if mark is not None]
     return Ingested(run.load_mode, run.id, max(marks, default=None))

@@ -9,12 +9,14 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators import recipes
-from larder.plans.ingest import Ingested, ingest
+from larder.plans.ingest import Ingested, Merge, ingest
 from larder.schemas import CLEANSED_RECIPE, RAW_RECIPE
 from larder.sources.csv_report import read_csv_report, write_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import read_json_lines
 from larder.sources.lake import read_lake
+from larder.sources.ledger import FileLedger
+from larder.sources.snapshots import read_current
 
 
 @dataclass(frozen=True)
@@ -23,8 +25,11 @@ class RecipeJob:
 
     ``reader_options`` go to Spark's JSON reader. ``new_files_only`` is for folders whose files never
     change once they are there: a delta then leaves files unread that are older than the start of the run
-    before it; otherwise it reads all input again to find the new rows. ``strict_durations`` fails the job
-    on a duration that cannot be read.
+    before it; otherwise it reads all input again to find the new rows. With ``ledger_path`` the files of each run are
+    written down there, and a delta reads just the others, whole. ``strict_durations`` fails the job
+    on a duration that cannot be read. ``snapshots`` makes ``lake_path`` a folder of snapshots, whose loads readers see whole
+    or not at all. With ``merge_keys`` rows replace those of the same key, the latest by ``merge_order`` staying; files that
+    changed after they were loaded are then loaded again, where otherwise they fail the job.
     """
 
     input_path: str
@@ -40,6 +45,10 @@ class RecipeJob:
     reader_options: Mapping[str, str] = field(default_factory=dict)
     new_files_only: bool = False
     strict_durations: bool = False
+    ledger_path: str | None = None
+    snapshots: bool = False
+    merge_keys: tuple[str, ...] = ()
+    merge_order: tuple[str, ...] = ("datePublished",)
 
 
 def load_recipes(
@@ -50,7 +59,9 @@ def load_recipes(
     strict_durations: bool = False,
     **reader_options: str,
 ) -> DataFrame:
-    """Recipe files read and cleansed."""
+    """Recipe files read and cleansed; none if the list of them is empty."""
+    if isinstance(path, list) and not path:
+        return recipes.cleanse(spark.createDataFrame([], RAW_RECIPE), watermark, lookback_days, strict_durations)
     raw = read_json_lines(spark, path, RAW_RECIPE, **reader_options)
     return recipes.cleanse(raw, watermark, lookback_days, strict_durations)
 
@@ -69,6 +80,13 @@ def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
         after = since.astimezone(timezone.utc) - timedelta(seconds=1)
         return load(mark, modifiedAfter=after.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC")
 
+    def load_files(paths: list[str]) -> DataFrame:
+        return load_recipes(spark, paths, strict_durations=job.strict_durations, **job.reader_options)
+
+    ledger = None
+    if job.ledger_path:
+        on_change = "load" if job.merge_keys else "fail"
+        ledger = FileLedger(spark, job.ledger_path, job.input_path, on_change)
     return ingest(
         HistoryTable(spark, job.history_path),
         job.etl_name,
@@ -78,15 +96,26 @@ def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
         clustered=job.clustered,
         lookback_days=job.lookback_days,
         load_new=load_new if job.new_files_only else None,
+        ledger=ledger,
+        load_files=load_files,
+        snapshots=job.snapshots,
+        merge=Merge(job.merge_keys, job.merge_order) if job.merge_keys else None,
     )
 
 
+def stored_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
+    """The recipes that finished runs have loaded."""
+    if job.snapshots:
+        return read_current(HistoryTable(spark, job.history_path), job.etl_name, job.lake_path, CLEANSED_RECIPE)
+    return read_lake(spark, job.lake_path, CLEANSED_RECIPE)
+
+
 def report_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
     """Writes the average time per difficulty as one CSV file; returns the names mentioning the term.
 
     The names are left for the caller to show, or written to ``mentions_path`` in full and returned from there.
     """
-    stored = read_lake(spark, job.lake_path, CLEANSED_RECIPE)
+    stored = stored_recipes(spark, job)
     names = recipes.mentioning(stored, job.term)
     if job.mentions_path:
         write_csv_report(names, job.mentions_path)

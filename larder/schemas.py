@@ -51,3 +51,11 @@ RUN_HISTORY = _nullable(
     filter_col2_name=T.StringType(),
     filter_col2_value=T.StringType(),
 )
+
+INPUT_FILE = _nullable(
+    path=T.StringType(),
+    length=T.LongType(),
+    modified=T.TimestampType(),
+    full_load=T.StringType(),
+    run_id=T.LongType(),
+)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.operators.merge import latest_per_key
+from larder.sources.files import listed_files, remove_folder, subfolders
+from larder.sources.shared import broadcast_if_small, computed_once
+
 # Fewest shuffle partitions for arranging a table: above the number of months it usually holds, so
 # that they rarely share one. Adaptive execution merges the small ones.
 MONTHS_APART = 512
@@ -40,12 +44,7 @@ def arrange(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 def _has_runs(spark: SparkSession, path: str) -> bool | None:
     """Whether the folders of a table begin with ``run_id``; None where there is no table yet."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return None
-    names = [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isDirectory()]
-    folders = [name for name in names if "=" in name]
+    folders = [name for name in subfolders(spark, path) if "=" in name]
     return folders[0].startswith("run_id=") if folders else None
 
 
@@ -89,3 +88,106 @@ def write_lake(
     writer = arranged.write.option("partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
     writer.mode("overwrite" if mode == "replace" else mode).partitionBy(*folders).parquet(path)
     return seen.get["value"] if seen else None
+
+
+def _in_partitions(partitions: Sequence[Row], partition_by: Sequence[str]) -> Column:
+    """Whether a row is in one of ``partitions``; only their folders are read."""
+    inside = F.lit(False)
+    for row in partitions:
+        same = F.lit(True)
+        for name in partition_by:
+            same &= F.col(name).isNull() if row[name] is None else F.col(name) == row[name]
+        inside |= same
+    return inside
+
+
+def merge_lake(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partition_by: Sequence[str] = ("year", "month"),
+    observe: Column | None = None,
+) -> str | None:
+    """Puts ``df`` into a partitioned table, where rows of the same ``keys`` replace one another; returns ``observe`` over
+    the rows of ``df``.
+
+    Of the rows of a key the one greatest by ``order`` stays, whether it is new or was there, and the new one of equals. Rows
+    with a NULL key are added. Merging the same rows again changes nothing, but for those.
+
+    The key columns of the table are read to find the months that hold an earlier row of a key. Those months, and the
+    months of the new rows, are written anew; no others are. Their number is bounded by the calendar, so they are filtered by
+    value. A month whose rows all moved elsewhere is removed. The months' folders are replaced one after the other, so
+    readers should not run meanwhile, and a merge that died is to be run again.
+    """
+    spark = df.sparkSession
+    folders = list(partition_by)
+    if _has_runs(spark, path):
+        raise ValueError(f"{path} keeps its runs apart, so their rows cannot replace one another")
+    new = computed_once(latest_per_key(df.select(*schema.fieldNames()), keys, order))
+    table = read_lake(spark, path, schema)
+    same = table.select(*keys, *folders).join(broadcast_if_small(new.select(*keys), stored=True), list(keys), "left_semi")
+    months = same.select(*folders).union(new.select(*folders)).distinct().collect()
+    new_marked = new.withColumn("_new", F.lit(1))
+    touched = table.where(_in_partitions(months, folders)).withColumn("_new", F.lit(0))
+    merged = latest_per_key(touched.unionByName(new_marked), keys, [*order, "_new"]).drop("_new")
+    # Stored, as the folders that it is made of are the ones that are written.
+    merged = computed_once(merged)
+    write_lake(merged, path, "replace", folders)
+    left = {tuple(row) for row in merged.select(*folders).distinct().collect()}
+    for row in months:
+        if tuple(row) not in left:
+            names = (f"{name}={'__HIVE_DEFAULT_PARTITION__' if row[name] is None else row[name]}" for name in folders)
+            remove_folder(spark, "/".join([path.rstrip("/"), *names]))
+    return None if observe is None else new.agg(observe.cast("string")).first()[0]
+
+
+def compact_lake(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = ("year", "month"),
+    file_bytes: int = 256 << 20,
+) -> int:
+    """Merges the files of each month into as few as its bytes need at ``file_bytes`` each; returns the months written.
+
+    Only months with more files than that are read and written; the others are not touched. A month's rows are dealt
+    evenly to its files whatever they hold, each file being written by a task of its own. The months' folders are replaced
+    one after the other, so readers should not run meanwhile.
+    """
+    folders = list(partition_by)
+    if _has_runs(spark, path):
+        folders = ["run_id", *folders]
+        schema = T.StructType([*schema, T.StructField("run_id", T.LongType())])
+    files = listed_files(spark, path, pathGlobFilter="*.parquet")
+    values = [F.regexp_extract("path", f"/{name}=([^/]*)/", 1) for name in folders]
+    months = (
+        files.select("length", *(value.alias(name) for value, name in zip(values, folders, strict=True)))
+        .groupBy(*folders)
+        .agg(F.count("*").alias("files"), F.ceil(F.sum("length") / file_bytes).alias("needed"))
+        .where("files > needed")
+        .collect()
+    )
+    if not months:
+        return 0
+    kinds = {field.name: field.dataType for field in schema}
+    first, rows = 0, []
+    for month in sorted(months, key=str):
+        values = [None if month[name] == "__HIVE_DEFAULT_PARTITION__" else int(month[name]) for name in folders]
+        rows.append((*values, first, month.needed))
+        first += month.needed
+    known = T.StructType(
+        [*(T.StructField(f"_{name}", kinds[name]) for name in folders), T.StructField("_first", T.LongType()), T.StructField("_n", T.LongType())]
+    )
+    slots = spark.createDataFrame(rows, known)
+    chosen = [Row(**dict(zip(folders, row, strict=False))) for row in rows]
+    table = read_lake(spark, path, schema).where(_in_partitions(chosen, folders))
+    own = F.lit(True)
+    for name in folders:
+        own &= F.col(name).eqNullSafe(F.col(f"_{name}"))
+    slot = F.col("_first") + F.monotonically_increasing_id() % F.col("_n")
+    dealt = table.join(F.broadcast(slots), own).withColumn("_slot", slot.cast("int"))
+    packed = dealt.repartitionById(first, "_slot").select(*schema.fieldNames())
+    packed.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*folders).parquet(path)
+    return len(months)

@@ -2,12 +2,16 @@
 
 from pyspark.sql import functions as F
 
+from larder.operators import history as runs
 from larder.operators import recipes
-from larder.plans.recipes import RecipeJob, ingest_recipes, load_recipes, report_recipes, run_recipes
+from larder.operators.merge import latest_per_key
+from larder.plans.recipes import RecipeJob, ingest_recipes, load_recipes, report_recipes, run_recipes, stored_recipes
 from larder.schemas import CLEANSED_RECIPE, DIFFICULTY_REPORT
 from larder.sources.csv_report import read_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.lake import read_lake
+from larder.sources.ledger import FileLedger
+from larder.sources.snapshots import expire_snapshots
 from larder.sources.shared import scratch_path
 from workload.registry import query, table
 
@@ -219,3 +223,112 @@ def ingest_then_report(spark, sf_dir):
     job = new_job(spark, recipe_files(spark, sf_dir))
     run_recipes(spark, job)
     return read_csv_report(spark, job.report_path, DIFFICULTY_REPORT)
+
+
+def in_three_batches(spark, sf_dir, **changes):
+    """A job run after each of three batches of files, whose rows are of all dates and none, and over nothing new."""
+    path = scratch_path(spark, "recipes")
+    raw = raw_recipes(spark, sf_dir)
+    job = new_job(spark, path, **changes)
+    for batch in range(3):
+        raw.where(F.crc32("image") % 3 == batch).write.mode("append").json(path)
+        ingest_recipes(spark, job)
+    ingest_recipes(spark, job)
+    return job
+
+
+@query(f"WITH {CLEANSED_SQL} {FLAT_SQL}")
+def ingest_delta_ledger(spark, sf_dir):
+    """Each file is loaded once, so late and undated rows get in as well."""
+    job = in_three_batches(spark, sf_dir, ledger_path=scratch_path(spark, "ledger"))
+    return flat(read_lake(spark, job.lake_path, CLEANSED_RECIPE))
+
+
+@query("""SELECT unnest(['rows', 'runs', 'files read twice', 'files not read']) AS "measure",
+        unnest([count(*) FILTER (WHERE source <> 'src0'), 4, 0, 0]) AS n FROM documents""")
+def ledger_files_once(spark, sf_dir):
+    """Over four runs no file is read twice, and none of those listed is left out."""
+    job = in_three_batches(spark, sf_dir, ledger_path=scratch_path(spark, "ledger"))
+    ledger = FileLedger(spark, job.ledger_path, job.input_path)
+    per_file = ledger.loaded(job.etl_name, 5).groupBy("path").agg(F.count("*").alias("n"))
+
+    def measure(name, df):
+        return df.agg(F.count("*").alias("n")).select(F.lit(name).alias("measure"), "n")
+
+    return (
+        measure("rows", read_lake(spark, job.lake_path, CLEANSED_RECIPE))
+        .union(measure("runs", HistoryTable(spark, job.history_path).read().where("id > 1")))
+        .union(measure("files read twice", per_file.where("n > 1")))
+        .union(measure("files not read", ledger.unseen(job.etl_name, 5)))
+    )
+
+
+@query(f"WITH {CLEANSED_SQL} {FLAT_SQL}")
+def ingest_snapshots(spark, sf_dir):
+    """A full load and deltas in a snapshot, read through the history."""
+    job = in_three_batches(spark, sf_dir, ledger_path=scratch_path(spark, "ledger"), snapshots=True)
+    return flat(stored_recipes(spark, job))
+
+
+@query(f"WITH {CLEANSED_SQL} {REPORT_SQL}")
+def snapshots_then_report(spark, sf_dir):
+    """A second full load takes the place of a snapshot of other rows, which is then deleted."""
+    path = scratch_path(spark, "recipes")
+    raw = raw_recipes(spark, sf_dir)
+    job = new_job(spark, path, snapshots=True)
+    raw.where(F.crc32("image") % 2 == 0).write.mode("append").json(path)
+    ingest_recipes(spark, job)
+    raw.where(F.crc32("image") % 2 == 1).write.mode("append").json(path)
+    history = HistoryTable(spark, job.history_path)
+    again = runs.seed(spark, job.etl_name, run_id=3)
+    history.append(again)
+    run_recipes(spark, job)
+    expire_snapshots(history, job.etl_name, job.lake_path)
+    return read_csv_report(spark, job.report_path, DIFFICULTY_REPORT)
+
+
+# What a second batch says about the recipes again: a third of them later and cooked for five minutes, a fifth as they were.
+MERGED_SQL = f"""{CLEANSED_SQL},
+    versions AS (SELECT *, 1 AS batch FROM cleansed UNION ALL SELECT * EXCLUDE (later) REPLACE (
+            CASE WHEN later THEN datePublished + 40 ELSE datePublished END AS datePublished,
+            CAST(CASE WHEN later THEN 5 ELSE cookTimeMinutes END AS INTEGER) AS cookTimeMinutes), 2 AS batch
+        FROM (SELECT *, CAST(split_part(image, '/', 4) AS BIGINT) % 3 = 0 AS later FROM cleansed)
+        WHERE later OR CAST(split_part(image, '/', 4) AS BIGINT) % 5 = 0),
+    merged AS (SELECT * FROM versions
+        QUALIFY row_number() OVER (PARTITION BY image ORDER BY datePublished DESC NULLS LAST, batch DESC) = 1)"""
+
+
+def with_corrections(spark, sf_dir):
+    """A job that merges by image, over early recipes, then over the others and corrections, then over the same files again."""
+    path = scratch_path(spark, "recipes")
+    raw = raw_recipes(spark, sf_dir)
+    job = new_job(spark, path, ledger_path=scratch_path(spark, "ledger"), merge_keys=("image",))
+    number = F.element_at(F.split("image", "/"), -1).cast("bigint")
+    early = F.col("datePublished") <= BATCH_END
+    raw.where(early).write.mode("append").json(path)
+    ingest_recipes(spark, job)
+    later = F.date_add(F.col("datePublished").try_cast("date"), 40).cast("string")
+    corrected = raw.where(number % 3 == 0).withColumn("datePublished", F.coalesce(later, "datePublished"))
+    repeated = raw.where((number % 5 == 0) & (number % 3 != 0))
+    corrected = corrected.withColumn("cookTime", F.lit("PT5M"))
+    raw.where(~early).unionByName(corrected).unionByName(repeated).unionByName(repeated).write.mode("append").json(path)
+    ingest_recipes(spark, job)
+    corrected.write.mode("append").json(path)
+    ingest_recipes(spark, job)
+    return job
+
+
+@query(f"WITH {MERGED_SQL} {FLAT_SQL.replace('FROM cleansed', 'FROM merged')}")
+def ingest_merged(spark, sf_dir):
+    """Corrected and repeated recipes replace the earlier ones of the same image, in other months as well."""
+    return flat(stored_recipes(spark, with_corrections(spark, sf_dir)))
+
+
+@query(f"""WITH {CLEANSED_SQL} SELECT description, max_by(recipeName, recipeName) AS "name",
+        max(datePublished) AS datePublished FROM cleansed WHERE datePublished IS NOT NULL GROUP BY description""")
+def latest_per_language(spark, sf_dir):
+    """One row of each of four keys, each of which a large share of the rows has."""
+    stored = load_recipes(spark, recipe_files(spark, sf_dir))
+    latest = latest_per_key(stored.where("datePublished IS NOT NULL"), ["description"], ["recipeName"])
+    dates = stored.groupBy("description").agg(F.max("datePublished").alias("datePublished"))
+    return latest.select("description", F.col("recipeName").alias("name")).join(dates, "description")

@@ -10,7 +10,7 @@ from larder.schemas import DIFFICULTY_REPORT
 from larder.sources.csv_report import read_csv_report, write_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import line_counts, read_json_lines
-from larder.sources.lake import read_lake, write_lake
+from larder.sources.lake import compact_lake, merge_lake, read_lake, write_lake
 from larder.sources.shared import scratch_path
 from workload.registry import query, table
 
@@ -244,3 +244,38 @@ def csv_text_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "texts")
     write_csv_report(rows, path)
     return read_csv_report(spark, path, rows.schema)
+
+
+def in_pieces(spark, sf_dir, pieces):
+    """Orders by month, appended in pieces that each hold some of every month."""
+    orders = orders_by_month(spark, sf_dir)
+    path = scratch_path(spark, "orders")
+    for piece in range(pieces):
+        rows = orders.where(F.col("o_orderkey") % pieces == piece)
+        write_lake(rows, path, "append" if piece else "overwrite")
+    return orders.schema, path
+
+
+@query(MONTHLY_SQL)
+def parquet_compacted(spark, sf_dir):
+    """Small files of each month merged; the rows stay."""
+    schema, path = in_pieces(spark, sf_dir, 4)
+    compact_lake(spark, path, schema)
+    return read_lake(spark, path, schema)
+
+
+@query(f"""SELECT * FROM ({MONTHLY_SQL}) WHERE o_orderkey % 7 <> 0 UNION ALL
+    SELECT * REPLACE (concat('was ', o_orderpriority) AS o_orderpriority,
+        CAST(year(order_date) AS INTEGER) AS "year", CAST(month(order_date) AS INTEGER) AS "month")
+    FROM (SELECT * REPLACE (order_date + 31 AS order_date) FROM ({MONTHLY_SQL}) WHERE o_orderkey % 7 = 0)""")
+def parquet_merged(spark, sf_dir):
+    """Orders of two versions: the later one stays, a month further on, and comes twice without effect."""
+    orders = orders_by_month(spark, sf_dir)
+    path = scratch_path(spark, "orders")
+    write_lake(orders, path, "overwrite")
+    moved = orders.where("o_orderkey % 7 = 0").withColumn("order_date", F.date_add("order_date", 31))
+    moved = moved.withColumn("o_orderpriority", F.concat(F.lit("was "), "o_orderpriority"))
+    moved = with_year_month(moved, "order_date")
+    for _ in range(2):
+        merge_lake(moved.union(moved), path, orders.schema, ["o_orderkey"], ["order_date"])
+    return read_lake(spark, path, orders.schema)
