@@ -120,7 +120,7 @@ def op10_secrets(spark, sf_dir):
     """All secrets: base patterns and values that are costly to guess."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select(
-        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "value_bits"
     )
 
 

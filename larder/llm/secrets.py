@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.texts import stored, text_function
+from larder.llm.texts import let_workers_import, stored, text_function, text_key
+from larder.sources.shared import broadcast_if_small
 
 # The base patterns with the least length of what they match.
 ASSIGN = re.compile(
@@ -40,11 +41,11 @@ GUESS_LEAST = 8
 # Bits for each word that a value of this many words or more, with blanks between, has to reach: sentences cost less.
 PROSE_BITS, PROSE_WORDS = 11.5, 3
 
-# The most words of the corpus that are broadcast, their longest, and the texts that have to hold one.
-WORDS_MOST = 200_000
-WORD_LONGEST = 24
+# The texts that have to hold a word of the corpus for it to have a rank.
 WORD_TEXTS = 5
-WORD_RUN = rf"(?<!\p{{L}})\p{{L}}{{1,{WORD_LONGEST}}}(?!\p{{L}})"
+# Stretches of letters of a value that are passed on together.
+WORDS_TOGETHER = 100_000
+WORD_RUN = r"\p{L}+"
 LETTERS = re.compile(r"[^\W\d_]+")
 # Characters that lie between words, and what the first of a kind and the next ones cost.
 BETWEEN, BETWEEN_BITS = " _-./,;:?!", (3.0, 1.0)
@@ -83,6 +84,12 @@ def _alphabet(value: str) -> int:
     return sum(size for _, size in classes)
 
 
+def folded(value: str) -> str:
+    """``value`` in lower case, character by character, so that it keeps its length."""
+    low = value.lower()
+    return low if len(low) == len(value) else "".join(c if len(c.lower()) > 1 else c.lower() for c in value)
+
+
 @lru_cache(maxsize=None)
 def _ranks() -> dict[str, int]:
     return {word: rank for rank, word in enumerate(WORDS, 1)}
@@ -111,10 +118,10 @@ def guess_bits(value: str, ranks: Mapping[str, int] | None = None) -> float:
     one bit for where it starts. An empty value costs 0.
     """
     n = len(value)
-    low = value.lower()
+    low = folded(value)
     plain = low.translate(SWAPS)
-    longest = max(map(len, _ranks())) if ranks is None else WORD_LONGEST
     ranks = _ranks() if ranks is None else ranks
+    lengths = sorted({len(word) for word in ranks}, reverse=True)
     near = _neighbours()
     each = math.log2(max(2, _alphabet(value)))
     best = [0.0] + [math.inf] * n
@@ -136,7 +143,10 @@ def guess_bits(value: str, ranks: Mapping[str, int] | None = None) -> float:
             order = order if abs(ord(here) - ord(before)) == 1 and here.isalnum() else end - 1
         joint = 1.0 if end > 1 else 0.0
         cost = best[end - 1] + each
-        for start in range(max(0, end - longest), end):
+        for length_ in lengths:
+            start = end - length_
+            if start < 0:
+                continue
             word = low[start:end]
             rank = ranks.get(word)
             swapped = 0
@@ -198,76 +208,111 @@ def base_spans(text: str) -> list[Span]:
     return in_order(found)
 
 
-def guess_values(text: str, base: Sequence[Span]) -> list[tuple[int, int]]:
-    """Where values in credential contexts begin and end that are long enough and not inside a base span."""
+def context_values(text: str) -> list[tuple[int, int]]:
+    """Where values in credential contexts begin and end that are long enough."""
     low = text.lower()
     if not any(word in low for word in CONTEXT_NEAR):
         return []
     found = (match.span(match.lastindex) for match in CONTEXT.finditer(text))
-    return [
-        (start, end)
-        for start, end in found
-        if end - start >= GUESS_LEAST and not any(span.start <= start and end <= span.end for span in base)
-    ]
+    return [(start, end) for start, end in found if end - start >= GUESS_LEAST]
 
 
-def guess_spans(
-    text: str, base: Sequence[Span], least_bits: float = GUESS_BITS, ranks: Mapping[str, int] | None = None
-) -> list[Span]:
-    """Values in credential contexts that cost ``least_bits`` or more and are not inside a base span.
+def inside(start: int, end: int, base: Sequence[Span]) -> bool:
+    return any(span.start <= start and end <= span.end for span in base)
 
-    Values of ``PROSE_WORDS`` words or more also have to cost ``PROSE_BITS`` for each, or they are taken for a sentence.
-    """
-    found = []
-    for start, end in guess_values(text, base):
-        n_words = len(text[start:end].split())
-        least = max(least_bits, PROSE_BITS * n_words) if n_words >= PROSE_WORDS else least_bits
-        if guess_bits(text[start:end], ranks) >= least:
-            found.append(Span("guess", start, end))
-    return found
 
+def costly(value: str, bits: float, least_bits: float = GUESS_BITS) -> bool:
+    """Whether ``bits`` make a value a secret.
 
-def _value_words(spark: SparkSession):
-    """A column function: the runs of letters of all ``guess_values`` of a text, in lower case."""
+    Values of ``PROSE_WORDS`` words or more also have to cost ``PROSE_BITS`` for each, or they are taken for a sentence.
+    """
+    n_words = len(value.split())
+    return bits >= (max(least_bits, PROSE_BITS * n_words) if n_words >= PROSE_WORDS else least_bits)
 
-    def words(text):
-        if not text:
-            return []
-        values = guess_values(text, base_spans(text))
-        return sorted({word for start, end in values for word in LETTERS.findall(text[start:end].lower())})
 
-    return text_function(spark, lambda: lambda texts: pa.array([words(t) for t in texts], pa.list_(pa.string())), "array<string>")
+def guess_spans(
+    text: str, base: Sequence[Span], least_bits: float = GUESS_BITS, ranks: Mapping[str, int] | None = None
+) -> list[Span]:
+    """Values in credential contexts that are ``costly`` and not inside a base span."""
+    values = (span for span in context_values(text) if not inside(*span, base))
+    return [Span("guess", a, b) for a, b in values if costly(text[a:b], guess_bits(text[a:b], ranks), least_bits)]
 
 
-def word_ranks(
-    docs: DataFrame, text_column: str = "text", most: int = WORDS_MOST, least_texts: int = WORD_TEXTS
-) -> dict[str, int]:
-    """Words of the corpus by rank, that is one more than how many words more texts hold.
+def word_ranks(docs: DataFrame, text_column: str = "text", least_texts: int = WORD_TEXTS) -> DataFrame:
+    """``word, rank``: the words of the corpus by rank, that is one more than how many words more texts hold.
 
-    All texts count, without what follows credential contexts, so that a repeated secret does not become a word. The
-    most frequent words come to the driver, ``most`` or fewer as words of equal count stay together; of the others
-    only whole runs of letters in ``guess_values``, again ``most`` of them. A word in fewer than ``least_texts``
-    texts has no rank and is guessed as its parts. ``WORDS`` keep their rank where it is less.
+    All texts count, without what follows credential contexts, so that a repeated secret does not become a word. A word in
+    fewer than ``least_texts`` texts has no rank and is guessed as its parts. ``WORDS`` keep their rank where it is
+    less. Nothing is collected: counts stay a table, and ranks come from the table of how many words have each count, which
+    has no more rows than the root of twice the corpus's words.
     """
+    spark = docs.sparkSession
     plain = F.col(text_column)
     for pattern in (CONTEXT, ASSIGN, ACCESS):
         plain = F.regexp_replace(plain, ("(?i)" if pattern.flags & re.IGNORECASE else "") + pattern.pattern, " ")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(WORD_RUN), F.lit(0)))).alias("word"))
     counts = stored(words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_texts), "words")
-    rank_of, before, least = {}, 0, None
-    for n, count in sorted(counts.groupBy("n").agg(F.count("*")).collect(), reverse=True):
-        rank_of[n] = before + 1
-        before += count
-        if before <= most:
-            least = n
-    kept = [] if least is None else counts.where(F.col("n") >= least).collect()
-    if before > most:
-        rest = counts if least is None else counts.where(F.col("n") < least)
-        asked = docs.select(F.explode(_value_words(docs.sparkSession)(text_column)).alias("word")).distinct()
-        tail = rest.join(stored(asked, "value-words"), "word", "left_semi")
-        kept += tail.orderBy(F.desc("n"), "word").limit(most).collect()
-    ranks = {row.word: rank_of[row.n] for row in kept}
-    return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in _ranks().items()}
+    more = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    rank_of = counts.groupBy("n").agg(F.count("*").alias("words")).select(
+        "n", (1 + F.coalesce(F.sum("words").over(more), F.lit(0))).alias("rank")
+    )
+    fixed = spark.createDataFrame(list(_ranks().items()), "word string, rank bigint")
+    ranked = counts.join(broadcast_if_small(rank_of), "n").select("word", "rank").unionByName(fixed)
+    return ranked.groupBy("word").agg(F.min("rank").alias("rank"))
+
+
+def candidate_words(value: str, longest: int) -> Iterator[str]:
+    """Every stretch of up to ``longest`` letters of ``value``, in lower case, also with swapped characters read as letters."""
+    low = folded(value)
+    for text in {low, low.translate(SWAPS)}:
+        for run in LETTERS.finditer(text):
+            begin, stop = run.span()
+            for start in range(begin, stop):
+                for end in range(start + 1, min(stop, start + longest) + 1):
+                    yield text[start:end]
+
+
+def value_costs(values: DataFrame, ranks: DataFrame, least_bits: float = GUESS_BITS) -> DataFrame:
+    """``value, bits, costly`` of every different ``value``, costed with all words of ``ranks`` that it holds.
+
+    The stretches of letters of each value meet the words in a join, and each value gets the ranks of its own words back.
+    A value's words are no more than its letters times the longest word's; no dictionary is broadcast or collected.
+    """
+    spark = values.sparkSession
+    let_workers_import(spark)
+    asked = stored(values.select("value").distinct(), "values")
+    longest = ranks.agg(F.max(F.char_length("word"))).first()[0] or 0
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(value: str, words: set[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"value": pa.array([value] * len(words), pa.string()), "word": pa.array(list(words), pa.string())})
+
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                words: set[str] = set()
+                for word in candidate_words(value, longest):
+                    words.add(word)
+                    if len(words) >= WORDS_TOGETHER:
+                        yield out(value, words)
+                        words = set()
+                if words:
+                    yield out(value, words)
+
+    held = asked.mapInArrow(pairs, "value string, word string").join(ranks, "word")
+    own = held.groupBy("value").agg(F.collect_set(F.struct("word", "rank")).alias("words"))
+    kinds = [pa.field("bits", pa.float64()), pa.field("costly", pa.bool_())]
+
+    def cost(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, words in batches:
+            bits = []
+            for value, known in zip(batch.to_pylist(), words.to_pylist(), strict=True):
+                ranks_ = _ranks() | {pair["word"]: pair["rank"] for pair in known or ()}
+                bits.append((guess_bits(value, ranks_), value))
+            dear = [costly(value, one, least_bits) for one, value in bits]
+            yield pa.StructArray.from_arrays([pa.array([b for b, _ in bits], pa.float64()), pa.array(dear, pa.bool_())], fields=kinds)
+
+    costs = F.arrow_udf(cost, "struct<bits:double,costly:boolean>").asNondeterministic()
+    return asked.join(own, "value", "left").select("value", costs("value", "words").alias("c")).select("value", "c.*")
 
 
 def in_order(spans: Sequence[Span]) -> list[Span]:
@@ -284,7 +329,41 @@ def redact(text: str, spans: Sequence[Span], mark: str = "[secret]") -> str:
     return "".join([*parts, text[at:]])
 
 
-FOUND = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,n_guess:bigint,base:string,spans:string>"
+SPAN = "struct<start:int,kind:int,end:int>"
+FOUND = f"struct<base:array<{SPAN}>,values:array<struct<start:int,end:int,inside:boolean,value:string>>>"
+
+
+def _found(docs: DataFrame, text_column: str):
+    """A column function: a text's base spans, and its values in credential contexts."""
+    span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
+    value = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("inside", pa.bool_()), ("value", pa.string())])
+    fields = [pa.field("base", pa.list_(span)), pa.field("values", pa.list_(value))]
+
+    def work(texts):
+        base, values = [], []
+        for text in texts:
+            spans = base_spans(text or "")
+            base.append([(s.start, KINDS.index(s.kind), s.end) for s in spans])
+            values.append([(a, b, inside(a, b, spans), text[a:b]) for a, b in context_values(text or "")])
+        return pa.StructArray.from_arrays([pa.array(base, fields[0].type), pa.array(values, fields[1].type)], fields=fields)
+
+    return text_function(docs.sparkSession, lambda: work, FOUND)(text_column)
+
+
+def _guesses(found: DataFrame, ranks: DataFrame, least_bits: float) -> DataFrame:
+    """``row, guesses``: of every row of ``found`` with values, where they are, their bits, and whether they are secrets.
+
+    A value that very many texts hold is costed once. Rows meet its cost in a join that Spark can split.
+    """
+    opened = found.where(F.size("values") > 0).select("row", F.inline("values"))
+    costs = broadcast_if_small(value_costs(opened, ranks, least_bits))
+    of_row = F.struct("start", "end", "inside", "bits", "costly")
+    return opened.join(costs, "value").groupBy("row").agg(F.array_sort(F.collect_list(of_row)).alias("guesses"))
+
+
+def _listed(spans: Column) -> Column:
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def scan(
@@ -292,37 +371,36 @@ def scan(
     id_column: str = "doc_id",
     text_column: str = "text",
     least_bits: float = GUESS_BITS,
-    ranks: Mapping[str, int] | None = None,
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
-    """``id, n_assign, n_access, n_hex, n_guess, base, spans`` of every row of ``docs``.
+    """``id, n_assign, n_access, n_hex, n_guess, base, spans, value_bits`` of every row of ``docs``.
 
     ``base`` and ``spans`` list ``kind:start:end`` (code points, end exclusive) by start, then kind, joined by
-    commas: the base patterns' spans, and all spans. NULL and empty texts have none. Repeated rows stay; other columns
-    are not looked at; an empty table gives an empty result. ``ranks`` are what words cost; without them, the
-    ``word_ranks`` of ``docs``.
+    commas: the base patterns' spans, and all spans. ``value_bits`` lists ``start:end:bits`` of all values in credential
+    contexts, those inside base spans too, which stay as they are whatever they cost. NULL and empty texts have none. Repeated rows stay;
+    other columns are not looked at; an empty table gives an empty result. ``ranks`` (``word, rank``) are what words cost;
+    without them, the ``word_ranks`` of ``docs``.
     """
-    known = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_column) if ranks is None else dict(ranks))
-
-    def make():
-        kinds = [pa.field(f"n_{kind}", pa.int64()) for kind in KINDS]
-        kinds += [pa.field("base", pa.string()), pa.field("spans", pa.string())]
-
-        def work(texts):
-            rows = []
-            for text in texts:
-                base = base_spans(text or "")
-                spans = in_order([*base, *guess_spans(text or "", base, least_bits, known.value)])
-                counts = [sum(span.kind == kind for span in spans) for kind in KINDS]
-                rows.append((*counts, ",".join(map(str, base)), ",".join(map(str, spans))))
-            columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
-            return pa.StructArray.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], fields=kinds
-            )
-
-        return work
-
-    found = text_function(docs.sparkSession, make, FOUND)(text_column)
-    return docs.select(F.col(id_column).alias("id"), found.alias("f")).select("id", "f.*")
+    ranks = word_ranks(docs, text_column) if ranks is None else ranks
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), _found(docs, text_column).alias("f"))
+    found = stored(rows.select("row", "id", "f.*"), "found")
+    guessed = found.where(F.size("values") > 0).join(_guesses(found, ranks, least_bits), "row").select("id", "base", "guesses")
+    none = F.array().cast("array<struct<start:int,end:int,inside:boolean,bits:double,costly:boolean>>")
+    rest = found.where(F.size("values") == 0).select("id", "base", none.alias("guesses"))
+    both = guessed.unionByName(rest)
+    secret = F.filter("guesses", lambda g: g["costly"] & ~g["inside"])
+    kind = F.lit(KINDS.index("guess"))
+    more = F.transform(secret, lambda g: F.struct(g["start"].alias("start"), kind.alias("kind"), g["end"].alias("end")))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(3)]
+    bits = F.transform("guesses", lambda g: F.concat_ws(":", g["start"].cast("string"), g["end"].cast("string"), F.round(g["bits"], 2).cast("string")))
+    return both.select(
+        "id",
+        *counts,
+        F.size(more).cast("bigint").alias("n_guess"),
+        _listed(F.col("base")).alias("base"),
+        _listed(F.array_sort(F.concat("base", more))).alias("spans"),
+        F.array_join(bits, ",").alias("value_bits"),
+    )
 
 
 def without_secrets(
@@ -330,22 +408,32 @@ def without_secrets(
     text_column: str = "text",
     least_bits: float = GUESS_BITS,
     mark: str = "[secret]",
-    ranks: Mapping[str, int] | None = None,
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with every secret in its texts replaced by ``mark``; NULL stays NULL, other columns as they are.
+    """``docs`` with every secret in its texts replaced by ``mark``; NULL and empty texts and other columns as they are.
 
-    ``ranks`` as in ``scan``.
+    Repeated rows stay, and an empty table gives an empty one. ``ranks`` as in ``scan``. Texts with a costly value are few and
+    known by key: they are broadcast after counting them, and beyond that a shuffle brings them to the rows.
     """
-    known = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_column) if ranks is None else dict(ranks))
-
-    def clean(text):
-        if not text:
-            return text
-        base = base_spans(text)
-        spans = in_order([*base, *guess_spans(text, base, least_bits, known.value)])
-        return redact(text, spans, mark) if spans else text
-
-    def make():
-        return lambda texts: pa.array([clean(text) for text in texts], pa.string())
-
-    return docs.withColumn(text_column, text_function(docs.sparkSession, make, "string")(text_column))
+    ranks = word_ranks(docs, text_column) if ranks is None else ranks
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), text_key(text_column).alias("key"), _found(docs, text_column).alias("f"))
+    found = stored(rows.select("row", "key", "f.values").where(F.size("values") > 0), "found")
+    secret = F.filter("guesses", lambda g: g["costly"] & ~g["inside"])
+    of_row = _guesses(found, ranks, least_bits).select("row", F.transform(secret, lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end"))).alias("spans"))
+    of_key = found.select("row", "key").join(of_row.where(F.size("spans") > 0), "row").groupBy("key").agg(F.first("spans").alias("spans"))
+    known = broadcast_if_small(of_key.select(F.struct("key", "spans").alias("f")))
+    source = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("d"))
+    text = F.col("d")[text_column]
+    joined = source.join(known, text_key(text) == F.col("f.key"), "left")
+
+    def clean(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, guesses in batches:
+            out = []
+            for one, more in zip(texts.to_pylist(), guesses.to_pylist(), strict=True):
+                spans = in_order([*base_spans(one or ""), *(Span("guess", g["start"], g["end"]) for g in more or ())])
+                out.append(redact(one, spans, mark) if spans else one)
+            yield pa.array(out, pa.string())
+
+    let_workers_import(docs.sparkSession)
+    cleaned = F.arrow_udf(clean, "string").asNondeterministic()(text, F.col("f.spans"))
+    return joined.select("d", cleaned.alias("t")).withColumn("d", F.col("d").withField(f"`{text_column}`", F.col("t"))).select("d.*")

@@ -548,22 +548,23 @@ def test_words_of_the_corpus_are_no_secrets(spark):
     values = ["credentials: international", 'Password: "must be at least eight characters"', "access_key = configuration.get_value"]
     rows += list(enumerate(values + ['passphrase: "kqx zvbrt jwpl mfgh"', "credentials: unheardofletters"], 80))
     frame = spark.createDataFrame(rows, "doc_id int, text string")
-    ranks = secrets.word_ranks(frame)
+    ranks = {r.word: r["rank"] for r in secrets.word_ranks(frame).collect()}
     assert ranks["must"] == ranks["least"] == 1 and ranks["international"] > ranks["must"]
     assert not {"kqxzvbrtjw", "unheardofletters"} & set(ranks)
     found = {r.id: r.spans for r in secrets.scan(frame).collect()}
-    assert [i for i in found if found[i]] == [*range(60, 80), 83, 84]
+    assert sorted(i for i in found if found[i]) == [*range(60, 80), 83, 84]
     cleaned = {r.doc_id: r.text for r in secrets.without_secrets(frame).collect()}
     assert [cleaned[80 + i] for i in range(3)] == values and cleaned[60] == "pwd: [secret]"
 
 
-@pytest.mark.parametrize("most", [0, 2])
-def test_words_beyond_the_broadcast_ones(spark, most):
-    rows = [(i, "and the") for i in range(9)] + [(i, "rare") for i in range(6)] + [(i, "other") for i in range(6)]
-    rows += [(9, "credentials: rare-thing")]
-    ranks = secrets.word_ranks(spark.createDataFrame(rows, "doc_id int, text string"), most=most, least_texts=5)
-    assert ranks.get("rare") == (3 if most else None) and "other" not in ranks
-    assert ranks["the"] == (1 if most else secrets.WORDS.index("the") + 1)
+def test_no_word_of_the_corpus_is_lost(spark):
+    """Ranks of all words in enough texts, of any length, alike where counts are."""
+    long = "donau" * 30
+    rows = [(i, "and the") for i in range(9)] + [(i, f"rare {long}") for i in range(6)] + [(i, "other") for i in range(6)]
+    rows += [(i, "few") for i in range(4)] + [(9, "credentials: rare-thing")]
+    ranks = {r.word: r["rank"] for r in secrets.word_ranks(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert ranks["rare"] == ranks["other"] == ranks[long] == 3 and ranks["the"] == ranks["and"] == 1
+    assert "few" not in ranks and "thing" not in ranks and ranks["letmein"] == secrets.WORDS.index("letmein") + 1
 
 
 def test_copies_of_any_length():
