@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.texts import stored, text_key
+from larder.llm.texts import broadcast_if_light, stored, text_key
 from larder.sources.shared import broadcast_if_small
 
 # What lies between words, and what words are made of. Non-ASCII characters all count.
@@ -78,15 +78,17 @@ def window_hits(
     Scanning: the texts are probed only at each ``step``-th word with the hash of the next ``size`` words
     (``gram_shape``); any occurrence of a window holds one such gram. The distinct hashes of all grams of the benchmark are
     broadcast after counting them, or joined by a shuffle beyond ``broadcast_grams``. Here case is folded for
-    all letters, which finds a superset. Verifying: each start that a hit allows gives a run of words, in A-Z lower case,
-    and those have to equal a window as text.
+    all letters, which finds a superset. A probe carries the key of its text and not the text, so the work grows with the
+    length of a text and no faster. Verifying: the starts that the hits of a text allow are gathered and joined
+    back to the text; each gives a run of words, in A-Z lower case, and those have to equal a window as text.
     """
     lengths = sorted(row.n for row in windows.select("n").distinct().collect())  # at most `window` of them
     if not lengths:
         return docs.sparkSession.createDataFrame([], "key binary, n int, at int, words string")
 
     def hashed(array: Column | str, at: Column, size: int, n: int) -> Column:
-        return F.struct(F.lit(n).alias("n"), at.alias("at"), F.xxhash64(F.slice(array, at, size)).alias("gram"))
+        gram = F.xxhash64(F.slice(array, at, size))
+        return F.struct(F.lit(n).alias("n"), at.alias("at"), gram.alias("gram"), F.size(array).alias("n_all"))
 
     def grams(array: str, n: int, step: int) -> Column:
         size, _ = gram_shape(n)
@@ -103,26 +105,30 @@ def window_hits(
         known = known.union(more)
     known = broadcast_if_small(known.distinct(), broadcast_grams)
 
-    folded = docs.select(F.col(text_column).alias("text"), words(any_case(F.col(text_column))).alias("all"))
-    probed = F.inline(F.concat(*(grams("all", n, gram_shape(n)[1]) for n in lengths)))
-    probes = folded.select("text", F.size("all").alias("n_all"), probed)
+    texts = docs.select(text_key(text_column).alias("key"), F.col(text_column).alias("text"))
+    folded = texts.select("key", words(any_case(F.col("text"))).alias("all"))
+    # Each probe says how many words its text has, so that the words themselves do not go along with it.
+    probes = folded.select("key", F.inline(F.concat(*(grams("all", n, gram_shape(n)[1]) for n in lengths))))
     step = F.lit(None).cast("int")
     for n in lengths:
         step = F.when(F.col("n") == n, F.lit(gram_shape(n)[1])).otherwise(step)
     first = F.greatest(F.col("at") - step + 1, F.lit(1))
     last = F.least(F.col("at"), F.col("n_all") - F.col("n") + 1)
-    # Only what was found is split in its own case, which leaves the words in the same places.
-    found = probes.join(known, ["n", "gram"], "left_semi").select("text", "n", first.alias("first"), last.alias("last"))
-    raw = found.where("first <= last").select(
-        text_key("text").alias("key"), "n", words("text").alias("all"), "first", "last"
-    )
+    found = probes.join(known, ["n", "gram"], "left_semi").select("key", "n", first.alias("first"), last.alias("last"))
+    starts = found.where("first <= last").groupBy("key").agg(F.collect_set(F.struct("n", "first", "last")).alias("starts"))
+    # Each text with a hit is split once, in its own case, which leaves the words in the same places.
+    asked = broadcast_if_light(starts)
+    raw = texts.join(asked, "key").select("key", "starts", words("text").alias("all"))
     runs = F.transform(
-        F.sequence("first", "last"),
-        lambda at: F.struct(
-            at.alias("at"), ascii_lower(F.array_join(F.slice("all", at, F.col("n")), " ")).alias("words")
+        "starts",
+        lambda start: F.transform(
+            F.sequence(start["first"], start["last"]),
+            lambda at: F.struct(
+                start["n"].alias("n"), at.alias("at"), ascii_lower(F.array_join(F.slice("all", at, start["n"]), " ")).alias("words")
+            ),
         ),
     )
-    opened = raw.select("key", "n", F.inline(runs))
+    opened = raw.select("key", F.inline(F.flatten(runs)))
     real = windows.select("n", "words").distinct()
     return opened.join(real, ["n", "words"], "left_semi").select("key", "n", "at", "words").distinct()
 
@@ -164,39 +170,25 @@ def _findings(docs, benchmark, text_column, item_column, window, broadcast_grams
     """``key, n_hit, n_items, items_sha256, spans`` of every text with a hit."""
     windows = stored(benchmark_windows(benchmark, item_column, text_column, window), "windows")
     hits = stored(window_hits(docs, windows, text_column, broadcast_grams), "hits")
-    # Runs of words that overlap or touch, joined. A text's runs are no more than its words.
-    runs = F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n")).alias("end"))))
-    spans = hits.groupBy("key").agg(runs.alias("runs"))
-    none = F.array().cast("array<struct<at:int,end:int>>")
-    joined = F.aggregate(
-        "runs",
-        F.struct(none.alias("done"), F.lit(None).cast("struct<at:int,end:int>").alias("open")),
-        lambda state, run: F.when(
-            state["open"].isNotNull() & (run["at"] <= state["open"]["end"]),
-            F.struct(
-                state["done"].alias("done"),
-                F.struct(
-                    state["open"]["at"].alias("at"), F.greatest(state["open"]["end"], run["end"]).alias("end")
-                ).alias("open"),
-            ),
-        ).otherwise(
-            F.struct(
-                F.when(state["open"].isNull(), state["done"])
-                .otherwise(F.concat(state["done"], F.array(state["open"])))
-                .alias("done"),
-                run.alias("open"),
-            )
-        ),
-        lambda state: F.concat(state["done"], F.array(state["open"])),
+    # Runs of words that overlap or touch, joined: a run after the end of all before it begins a span. A text's runs are no
+    # more than its words.
+    in_text = Window.partitionBy("key").orderBy("at", "end").rowsBetween(Window.unboundedPreceding, -1)
+    runs = hits.select("key", "at", (F.col("at") + F.col("n")).alias("end"))
+    begins = runs.select("*", (F.col("at") <= F.max("end").over(in_text)).alias("goes_on"))
+    begins = begins.select("key", "at", "end", F.when(F.col("goes_on"), 0).otherwise(1).alias("begins"))
+    up_to_here = Window.partitionBy("key").orderBy("at", "end").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = begins.select("key", "at", "end", F.sum("begins").over(up_to_here).alias("span"))
+    joined = numbered.groupBy("key", "span").agg(F.min("at").alias("at"), F.max("end").alias("end"))
+    spans = joined.groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("at", "end"))).alias("spans"),
+        F.sum((F.col("end") - F.col("at")).cast("bigint")).alias("n_hit"),
     )
-    spans = spans.select("key", joined.alias("spans"))
-    covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, span: total + span["end"] - span["at"])
     items = hits.join(windows, ["n", "words"]).select("key", "item").distinct().where("item IS NOT NULL")
     named = items.groupBy("key").agg(
         F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256")
     )
     # Stored, so that the join with the documents has no aggregate beside it and a frequent key can be split.
-    return stored(spans.withColumn("n_hit", covered).join(named, "key", "left"), "findings")
+    return stored(spans.join(named, "key", "left"), "findings")
 
 
 def decontaminate(
@@ -213,7 +205,8 @@ def decontaminate(
 
     Removing spans joins the words before and after by a blank and leaves the rest of the text as it is,
     from the end of one word to the next; texts without hits, NULL included, stay untouched.
-    Columns come back as they are.
+    Columns come back as they are. Repeated rows stay or go together; an empty table gives an empty one, and an empty
+    benchmark changes nothing.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
@@ -229,9 +222,17 @@ def decontaminate(
     # Pieces of text, each a word with what follows it; the first holds only what comes before all words.
     pieces = F.split(text, rf"(?<=^|{BETWEEN[:-1]})(?=[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])")
     led = F.when(text.rlike(rf"^{WORD}"), F.concat(F.array(F.lit("")), pieces)).otherwise(pieces)
-    cleaned = F.array_join(
-        F.filter(led, lambda piece, at: ~F.exists(F.col("f.spans"), lambda span: (at >= span["at"]) & (at < span["end"]))),
-        "",
+    # What lies between the spans, from the end of one to the start of the next.
+    spans = F.col("f.spans")
+    kept = F.transform(
+        F.sequence(F.lit(0), F.size(spans)),
+        lambda i: F.slice(
+            F.col("led"),
+            F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)) + 1,
+            F.coalesce(F.get(spans, i)["at"], F.size("led")) - F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)),
+        ),
     )
+    cleaned = F.array_join(F.flatten(kept), "")
     changed = F.when(F.col("f.key").isNull(), text).otherwise(cleaned)
-    return joined.withColumn("d", F.col("d").withField(f"`{text_column}`", changed)).select("d.*")
+    split = joined.select("d", "f", F.when(F.col("f.key").isNotNull(), led).alias("led"))
+    return split.withColumn("d", F.col("d").withField(f"`{text_column}`", changed)).select("d.*")

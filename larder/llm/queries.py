@@ -77,6 +77,7 @@ WORDS_SQL = r"""list_filter(regexp_split_to_array(translate(coalesce({text}, '')
         coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
     FROM d LEFT JOIN hit_words USING (r) LEFT JOIN items USING (r)""")
 def op4_decontaminate(spark, sf_dir):
+    """Words of every document that lie in a window of a benchmark item."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.texts import let_workers_import, stored, text_function, text_key
+from larder.llm.texts import broadcast_if_light, let_workers_import, stored, text_function, text_key
 from larder.sources.shared import broadcast_if_small
 
 # The base patterns with the least length of what they match.
@@ -356,7 +356,7 @@ def _guesses(found: DataFrame, ranks: DataFrame, least_bits: float) -> DataFrame
     A value that very many texts hold is costed once. Rows meet its cost in a join that Spark can split.
     """
     opened = found.where(F.size("values") > 0).select("row", F.inline("values"))
-    costs = broadcast_if_small(value_costs(opened, ranks, least_bits))
+    costs = broadcast_if_light(value_costs(opened, ranks, least_bits))
     of_row = F.struct("start", "end", "inside", "bits", "costly")
     return opened.join(costs, "value").groupBy("row").agg(F.array_sort(F.collect_list(of_row)).alias("guesses"))
 
@@ -413,7 +413,7 @@ def without_secrets(
     """``docs`` with every secret in its texts replaced by ``mark``; NULL and empty texts and other columns as they are.
 
     Repeated rows stay, and an empty table gives an empty one. ``ranks`` as in ``scan``. Texts with a costly value are few and
-    known by key: they are broadcast after counting them, and beyond that a shuffle brings them to the rows.
+    known by key: they are broadcast after measuring them, and beyond that a shuffle brings them to the rows.
     """
     ranks = word_ranks(docs, text_column) if ranks is None else ranks
     rows = docs.select(F.monotonically_increasing_id().alias("row"), text_key(text_column).alias("key"), _found(docs, text_column).alias("f"))
@@ -421,7 +421,7 @@ def without_secrets(
     secret = F.filter("guesses", lambda g: g["costly"] & ~g["inside"])
     of_row = _guesses(found, ranks, least_bits).select("row", F.transform(secret, lambda g: F.struct(g["start"].alias("start"), g["end"].alias("end"))).alias("spans"))
     of_key = found.select("row", "key").join(of_row.where(F.size("spans") > 0), "row").groupBy("key").agg(F.first("spans").alias("spans"))
-    known = broadcast_if_small(of_key.select(F.struct("key", "spans").alias("f")))
+    known = broadcast_if_light(of_key.select(F.struct("key", "spans").alias("f")))
     source = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("d"))
     text = F.col("d")[text_column]
     joined = source.join(known, text_key(text) == F.col("f.key"), "left")

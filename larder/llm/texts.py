@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from larder.sources.shared import scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+# Bytes of rows, written out as JSON, up to which they are broadcast.
+BROADCAST_BYTES = 64 << 20
 # bytes.translate table that lower-cases A-Z and nothing else
 ASCII_LOWER = bytes(ord(chr(b).lower()) if b < 128 else b for b in range(256))
 
@@ -48,6 +50,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_light(df: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` stored, with a broadcast hint only if its values, written out, take at most ``most_bytes``.
+
+    For rows of any width. Larger frames come back without a hint, for Spark to shuffle.
+    """
+    kept = stored(df, "light")
+    total = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))).first()[0] or 0
+    return F.broadcast(kept) if total <= most_bytes else kept
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, lengthened until they clash with no column of ``df`` in any letter case."""
     taken = {column.lower() for column in df.columns}
