@@ -36,8 +36,7 @@ def words(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    column = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("bigint")
+    return F.size(words(text)).cast("bigint")
 
 
 def gram_shape(window: int) -> tuple[int, int]:
