@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,8 +19,12 @@ TABLE_BITS = 17
 TABLE = (1 << TABLE_BITS) + 1
 GRAMS = (2, 3, 4)
 BLOCK = 64
-# The largest training sample: so many documents of each language, whole.
+# The largest training sample: so many documents of each language, whole, and so many bytes of them.
 SAMPLE_PER_LANGUAGE = 200
+SAMPLE_BYTES = 4 << 20
+# Characters whose words are worked on together, at about 100 bytes of memory each; a longer text goes in runs of this length.
+RUN = 200_000
+SPACE = re.compile(r"\s")
 
 BLANK = 32
 # Odd multipliers, one for each gram length.
@@ -111,16 +116,28 @@ class Field:
 
 
 def forward_backward(scores: np.ndarray, ends: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior probability of each label at each word, exactly, for many chains at a time; and the
-    probability given only the words up to that one.
+    """``run_forward_backward`` of whole chains: each word's posterior, and its probability given the words up to it."""
+    return run_forward_backward(scores, ends, moves)[:2]
 
+
+def run_forward_backward(
+    scores: np.ndarray,
+    ends: np.ndarray,
+    moves: np.ndarray,
+    before: np.ndarray | None = None,
+    after: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posterior probability of each label at each word, exactly, for many chains at a time; the
+    probability given only the words up to that one; and the first chain's message to what comes before it.
+
+    ``before`` and ``after`` are messages into the chains from what comes before and after them, for runs of one text.
     ``ends`` is the number of words up to the end of each chain. Chains are cut into blocks: all blocks are
     multiplied out side by side, messages then pass from block to block, and all blocks are filled in side by side.
     """
     n, k = scores.shape
     lengths = np.diff(np.concatenate(([0], ends)))
     if not n:
-        return np.zeros((0, k)), np.zeros((0, k))
+        return np.zeros((0, k)), np.zeros((0, k)), np.full(k, 1 / k) if after is None else after
     blocks_of = -(-lengths // BLOCK)
     first_block = np.concatenate(([0], np.cumsum(blocks_of)))[:-1]
     total = int(blocks_of.sum())
@@ -142,6 +159,10 @@ def forward_backward(scores: np.ndarray, ends: np.ndarray, moves: np.ndarray) ->
         product[on] = grown / grown.sum(axis=(1, 2), keepdims=True)
 
     into, out = np.full((total, k), 1 / k), np.full((total, k), 1 / k)
+    if before is not None:
+        into[:] = before
+    if after is not None:
+        out[:] = after
     order = np.argsort(-blocks_of, kind="stable")
     many = blocks_of[order]
     for b in range(1, int(many[0])):
@@ -168,7 +189,8 @@ def forward_backward(scores: np.ndarray, ends: np.ndarray, moves: np.ndarray) ->
         grown /= grown.sum(axis=1, keepdims=True)
         state = np.where(used[t][:, None], grown, state)
     posterior = ahead[at, block]
-    return posterior / posterior.sum(axis=1, keepdims=True), forward
+    first = product[0] @ out[0]
+    return posterior / posterior.sum(axis=1, keepdims=True), forward, first / first.sum()
 
 
 def fit(texts: Sequence[str], languages: Sequence[str], rounds: int = 30, rate: float = 0.3, seed: int = 7) -> Field:
@@ -194,8 +216,7 @@ def fit(texts: Sequence[str], languages: Sequence[str], rounds: int = 30, rate:
         at += size
     random.shuffle(stretches)
     order = np.concatenate(stretches)
-    order = order[: len(order) // BLOCK * BLOCK] if len(order) >= BLOCK else order
-    ends = np.arange(min(BLOCK, len(order)), len(order) + 1, BLOCK)
+    ends = np.append(np.arange(BLOCK, len(order), BLOCK), len(order))
     gold = gold[order]
 
     # Features of each byte with its word's number; a word's features weigh 1 / root of their number.
@@ -246,11 +267,110 @@ def fit(texts: Sequence[str], languages: Sequence[str], rounds: int = 30, rate:
     return Field(weights, moves, labels)
 
 
-def predict(field: Field, texts: Sequence[str | None]) -> list[tuple[str, float]]:
+def runs(text: str, size: int) -> Iterator[tuple[int, int, bool]]:
+    """Where runs of about ``size`` characters of whole words begin and end; true for a run that is one word longer than that."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end >= len(text):
+            yield at, len(text), False
+            return
+        blank = SPACE.search(text, end)
+        stop = blank.start() if blank else len(text)
+        if stop - end <= size:
+            yield at, stop, False
+        else:
+            head = text[at:end].rsplit(None, 1)
+            start = end - len(head[-1]) if head and not text[end - 1].isspace() else end
+            if start > at:
+                yield at, start, False
+            yield start, stop, True
+        at = stop
+
+
+def long_word_scores(field: Field, word: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``Field.scores`` and ``lettered`` of one word, from ``size`` bytes of it at a time."""
+    raw = np.frombuffer(f" {word.lower().strip()} ".encode("utf-8", "replace"), np.uint8)
+    total, grams, hashed, lettered = np.zeros(len(field.labels)), 0, 0, False
+    prime, modulus = 0x100000001B3, 1 << 64
+    power = 1
+    for start in range(0, len(raw), size):
+        part = raw[start : start + size + max(GRAMS) - 1]
+        own = min(size, len(raw) - start)
+        value = part.astype(np.uint32)
+        for length in range(2, max(GRAMS) + 1):
+            value = value << np.uint32(8)
+            value[: max(0, len(part) - length + 1)] |= part[length - 1 :]
+            n = min(own, len(part) - length + 1)
+            if length in GRAMS and n > 0:
+                rows = (value[:n] * MIX[length - 2] >> np.uint32(32 - TABLE_BITS)).astype(np.int64) + 1
+                total += row_sum(field.weights, rows)
+                grams += n
+        letters = part[: min(own, len(raw) - 1 - start)]  # the blank behind is no part of the word's hash
+        powers = np.cumprod(np.concatenate(([np.uint64(power)], np.full(max(0, len(letters) - 1), prime, np.uint64))))
+        if len(letters):
+            hashed = (hashed + int(((letters + np.uint64(1)) * powers).sum())) % modulus
+            power = int(powers[-1]) * prime % modulus
+            lettered |= bool(((letters >= 97) & (letters <= 122) | (letters >= 128)).any())
+    whole = (hashed * 0x9E3779B97F4A7C15 % modulus >> (64 - TABLE_BITS)) + 1
+    scores = (total + field.weights[whole]) / np.sqrt(grams + 1)
+    return scores[None, :].astype(np.float32), np.array([lettered])
+
+
+def row_sum(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of some rows of ``weights``, by how often each is there."""
+    return np.bincount(rows, minlength=len(weights)) @ weights
+
+
+def _mean_of_runs(field: Field, text: str, size: int) -> np.ndarray:
+    """The mean posterior over a long text's words that hold a letter: messages pass from run to run, first ahead, then back."""
+    cut = list(runs(text, size))
+
+    def scored(run: tuple[int, int, bool]) -> tuple[np.ndarray, np.ndarray]:
+        if run[2]:
+            return long_word_scores(field, text[run[0] : run[1]], size)
+        words = features([text[run[0] : run[1]]])
+        return field.scores(words), words.lettered
+
+    before: list[np.ndarray | None] = [None]
+    for run in cut[:-1]:
+        scores, _ = scored(run)
+        forward = run_forward_backward(scores, np.array([len(scores)]), field.moves, before[-1])[1]
+        before.append(forward[-1] if len(forward) else before[-1])
+    sums, n, all_sums, all_n, after = 0.0, 0, 0.0, 0, None
+    for run, message in zip(reversed(cut), reversed(before), strict=True):
+        scores, lettered = scored(run)
+        posterior, _, after = run_forward_backward(scores, np.array([len(scores)]), field.moves, message, after)
+        sums, n = sums + posterior[lettered].sum(axis=0), n + int(lettered.sum())
+        all_sums, all_n = all_sums + posterior.sum(axis=0), all_n + len(posterior)
+    return sums / n if n else all_sums / max(all_n, 1)
+
+
+def predict(field: Field, texts: Sequence[str | None], size: int = RUN) -> list[tuple[str, float]]:
     """The label with the greatest mean posterior over a text's words that hold a letter, and that mean.
 
-    ``und`` with score 0 if the text is NULL or has no letter, or if no label was learned.
+    ``und`` with score 0 if the text is NULL or has no letter, or if no label was learned. Texts are worked on together up to
+    ``size`` characters; a longer text goes in runs of that length, with the same result.
     """
+    out: list[tuple[str, float]] = []
+    held: list[str | None] = []
+    length = 0
+    for text in texts:
+        n = len(text or "")
+        if held and length + n > size:
+            out += _predict_together(field, held)
+            held, length = [], 0
+        if n > size:
+            mean = _mean_of_runs(field, text, size) if field.labels and has_letter(text) else None
+            best = 0 if mean is None else int(mean.argmax())
+            out.append((UNKNOWN, 0.0) if mean is None else (field.labels[best], float(mean[best])))
+            continue
+        held.append(text)
+        length += n
+    return out + _predict_together(field, held) if held else out
+
+
+def _predict_together(field: Field, texts: Sequence[str | None]) -> list[tuple[str, float]]:
     words = features(texts)
     posterior = forward_backward(field.scores(words), words.doc_ends, field.moves)[0] if field.labels else None
     out, begin = [], 0
@@ -284,21 +404,25 @@ def train(
     text_column: str = "text",
     language_column: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE,
+    most_bytes: int = SAMPLE_BYTES,
 ) -> Field:
-    """Fits a field on at most ``per_language`` whole documents of each language where ``learn`` holds.
+    """Fits a field on at most ``per_language`` whole documents, of ``most_bytes`` together, of each language where ``learn``
+    holds. Longer documents than that teach nothing.
 
     The sample is that with the least hashes of the id, so it is the same every time and spread over the table.
     Rows with a NULL language or text, or a text without letters, teach nothing. Each task
     keeps only its own least rows of a language, so a frequent language costs no more.
     """
     row = docs.where(learn & F.col(language_column).isNotNull() & F.col(text_column).rlike(r"\p{L}"))
-    row = row.select(
+    row = row.where(F.octet_length(text_column) <= most_bytes).select(
         F.col(text_column).alias("text"),
         F.col(language_column).alias("lang"),
         F.xxhash64(F.col(id_column).cast("string")).alias("mark"),
     )
     least = Window.partitionBy("lang").orderBy("mark", F.xxhash64("text"))
     taken = row.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= per_language)
+    so_far = least.rowsBetween(Window.unboundedPreceding, 0)
+    taken = taken.withColumn("bytes", F.sum(F.octet_length("text")).over(so_far)).where(F.col("bytes") <= most_bytes)
     sample = sorted((r["lang"], r["mark"], r["text"]) for r in taken.select("lang", "mark", "text").collect())
     return fit([text for _, _, text in sample], [lang for lang, _, _ in sample])
 
@@ -314,9 +438,7 @@ def identify(docs: DataFrame, field: Field, id_column: str = "doc_id", text_colu
 
     def make():
         def work(texts):
-            rows = []
-            for start in range(0, len(texts), 500):
-                rows += predict(shared.value, texts[start : start + 500])
+            rows = predict(shared.value, texts)
             return pa.StructArray.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())],
                 names=["lang_pred", "score"],

@@ -2,11 +2,12 @@
 
 import random
 import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate
+from larder.llm import decontaminate, language
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -73,3 +74,50 @@ def test_no_python_worker(spark):
     for df in (decontaminate.window_hits(docs, windows), decontaminate.contamination(docs, bench)):
         plan = df.select(F.struct("*").alias("r"))._jdf.queryExecution().executedPlan().toString()
         assert not [word for word in ("Python", "Arrow", "Pandas") if word in plan]
+
+
+# ---------------------------------------------------------------- language
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    return language.train(docs, F.lit(True))
+
+
+def test_language_of_a_text_in_runs(spark, field):
+    """Messages pass from run to run: the same means as all words at a time."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    texts = [rows[i].text + " " + rows[i + 1].text for i in range(0, 30, 2)]
+    texts += ["a" * 900 + " und der die das " + "ß" * 2000, "中文" * 1500, " \n" * 3000 + "the cat", "1 2 3 " * 500 + "x", "7 " * 900]
+    whole = language.predict(field, texts, size=10**9)
+    for size in (37, 200, 1000):
+        found = language.predict(field, texts, size=size)
+        assert [label for label, _ in found] == [label for label, _ in whole]
+        assert [score for _, score in found] == pytest.approx([score for _, score in whole], abs=1e-5)
+
+
+def test_runs_hold_all_words(field):
+    pick = random.Random(6)
+    for _ in range(200):
+        text = "".join(pick.choice(["a", "bc", " ", "\n", "x" * 30, " "]) for _ in range(pick.randint(0, 60)))
+        cut = list(language.runs(text, 11))
+        assert [w for a, b, _ in cut for w in text[a:b].split()] == text.split()
+        assert all(len(text[a:b].split()) == 1 for a, b, one in cut if one)
+
+
+@pytest.mark.parametrize("text", ["wort und ein anderes " * 400_000, "wort" * 2_000_000])
+def test_language_memory_of_a_long_text(field, text):
+    """Eight megabytes in one text, of many words and of one: far less than a hundred bytes for each."""
+    tracemalloc.start()
+    found = language.predict(field, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[0][0] != "und" and peak < 100 << 20
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    rows = [(i, f"ein langer text {i} " * 50, "de") for i in range(20)] + [(i, "the text " * 5000, "en") for i in range(20, 23)]
+    rows += [(30, "un texte", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    assert language.train(docs, F.lit(True), most_bytes=3000).labels == ("de", "fr")
