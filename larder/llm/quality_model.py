@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.texts import let_workers_import, text_function
+from larder.llm.texts import let_workers_import, text_function, text_key
 
 # Rows of the word table: folded words and the shapes of words, each hashed. The last row is the
 # border between texts.
@@ -261,7 +261,8 @@ def train(
         return work
 
     features = text_function(docs.sparkSession, make, "array<float>")
-    taken = rows.join(F.broadcast(chosen), "id").select("id", "label", "text")
+    # One row of an id, the one whose text has the least key, so that a repeated id is learned once.
+    taken = rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min_by("text", text_key("text")).alias("text"))
     got = taken.select("id", "label", features("text").alias("features")).collect()
     got.sort(key=lambda row: (row["id"], row["features"]))
     x = np.array([row["features"] for row in got], np.float32).reshape(-1, 2 * DIMENSIONS + 3)

@@ -176,6 +176,7 @@ def with_verdicts(measures: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``measures`` (with the columns ``MEASURES``) plus ``base_failed, quality, kept``.
 
     Votes are counted by pattern over all rows, at most ``3 ** rules`` counts, which the driver fits.
+    Rows that fail the base rules are counted like others; failing them only decides ``kept``.
     ``quality`` is the posterior probability of a good text; ``kept`` is false where ``base_failed``, and
     otherwise says whether ``quality`` reaches ``threshold``.
     """
@@ -184,7 +185,7 @@ def with_verdicts(measures: DataFrame, threshold: float = 0.5) -> DataFrame:
     for rule in all_rules:
         code = code * 3 + rule.vote()
     coded = measures.withColumn("pattern", code)
-    counted = coded.where(~base_failed()).groupBy("pattern").count().collect()
+    counted = coded.groupBy("pattern").count().collect()
     if counted:
         codes = np.array([row["pattern"] for row in counted])
         patterns = np.stack([codes // 3**i % 3 for i in range(len(all_rules) - 1, -1, -1)], axis=1)
@@ -220,7 +221,8 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 def keep_good(docs: DataFrame, text_column: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are.
 
-    Texts are measured once and stored beside their measures.
+    NULL and empty texts, and all others that fail the base rules, go; repeated rows stay or go together; an empty table
+    gives an empty one. Texts are measured once and stored beside their measures.
     """
     row, measures = fresh(docs, "row", "measures")
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), F.col(text_column).alias("text"))

@@ -80,7 +80,9 @@ def close_pairs(distinct: DataFrame, max_bits: int = 4, blocks: int = 7) -> Data
         mask = _signed(sum(masks[i] for i in chosen))
         part = F.col("fingerprint").bitwiseAND(F.lit(mask).cast("bigint"))
         choices.append(F.struct(F.lit(sum(1 << i for i in chosen)).alias("choice"), part.alias("part")))
-    keyed = distinct.select("fingerprint", F.inline(F.array(*choices)))
+    # Dealt out again first, as few and narrow rows come in few partitions and each becomes one row for every choice.
+    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = distinct.repartition(partitions, "fingerprint").select("fingerprint", F.inline(F.array(*choices)))
     # Spark takes the rows of all choices for no more than the fingerprints; it must not broadcast them.
     left, right = keyed.alias("l"), keyed.hint("merge").alias("r")
     a, b = F.col("l.fingerprint"), F.col("r.fingerprint")
