@@ -592,8 +592,20 @@ def test_secrets_query(spark, texts):
 # ---------------------------------------------------------------- pipeline
 
 
-def test_pipeline_by_brute_force(spark, docs, texts):
-    out = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+@pytest.mark.parametrize("planted", [False, True])
+def test_pipeline_by_brute_force(spark, docs, texts, tmp_path, planted):
+    """The given documents; and those with secrets, odd texts and repeated rows among them."""
+    sf_dir = SF_DIR
+    if planted:
+        sf_dir, words = str(tmp_path), "the of and word some text good long line more"
+        texts = dict(texts)
+        values = ["xK9mQ2vTb7", "the-of-and-word", '"qT7 zzkw vrq jjx wp"', "password123"]
+        texts |= {9000 + i: f"{texts[i]} pwd: {values[i % 4]} and {words}" for i in range(0, 60, 3)}
+        texts |= {9100: None, 9101: "", 9102: " \n ", 9103: " ".join(texts[i] for i in range(40))}
+        rows = [(i, t, "en", "src", 7) for i, t in texts.items()] + [(9000, texts[9000], "en", "src", 7)] * 2
+        spark.createDataFrame(rows, docs.schema).write.parquet(f"{sf_dir}/documents.parquet")
+        spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(f"{sf_dir}/benchmark.parquet")
+    out = spark.read.parquet(f"{sf_dir}/documents.parquet")
     judged = {r.id: r.kept for r in quality_rules.judge(out).collect()}
     kept = {i: t for i, t in texts.items() if judged[i]}
     prints = {i: slow_fingerprint(t) for i, t in kept.items()}
@@ -603,17 +615,23 @@ def test_pipeline_by_brute_force(spark, docs, texts):
     counts = {i: slow_hits(t, items, 13) for i, t in kept.items()}
     kept = {i: t for i, t in kept.items() if not (counts[i][1] and 20 * counts[i][1] >= counts[i][0])}
     exact = tokenizer()
+    ranked = secrets.word_ranks(spark.createDataFrame([(t,) for t in kept.values()], "text string"))
+    ranks = {r.word: r["rank"] for r in ranked.collect()}
 
     def clean(text):
         base = secrets.base_spans(text)
-        return secrets.redact(text, secrets.in_order([*base, *secrets.guess_spans(text, base)]))
+        guesses = secrets.guess_spans(text, base, ranks=ranks)
+        found_guesses.extend(guesses)
+        return secrets.redact(text, secrets.in_order([*base, *guesses]))
 
+    found_guesses = []
     expected = {i: len(exact.encode(clean(t), add_special_tokens=False).ids) + 1 for i, t in kept.items()}
-    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
     found = Counter()
     for r in rows:
         found[r.doc_id] += r.length
     assert dict(found) == expected
+    assert not planted or found_guesses
 
 
 def test_columns_between_stages(spark, docs):
