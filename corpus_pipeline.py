@@ -1,6 +1,8 @@
 """A training corpus from ``documents``: quality rules, near-duplicates, benchmark passages, secrets, packing.
 
-Each stage works on all rows the one before it kept. All but the last return the columns of documents.
+Each stage works on all rows the one before it kept. All but the last return the columns of documents; extra columns stay as
+they are. NULL and empty texts go with the first stage; a stage given them keeps them, as one group of near-duplicates. Repeated
+rows are one document from the second stage on. An empty table gives an empty one, after any stage and in the end.
 """
 
 from __future__ import annotations
@@ -17,17 +19,21 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go, NULL and empty texts among them."""
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least id."""
+    """One document of each group stays, the one with the least id.
+
+    Groups are those of ``op1_simhash`` by its contract: 4-word shingles, links at 4 or fewer of 64 differing bits, and no
+    other check of similarity. Near copies further apart stay.
+    """
     return simhash.deduplicate(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
+    """Contaminated documents go: those with a twentieth of their words in benchmark windows. Without a benchmark all stay."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
