@@ -16,6 +16,11 @@ from larder.llm.texts import let_workers_import
 from larder.llm.tokens import IDS, default_tokenizer, encoder, in_runs, with_end
 from larder.sources.shared import scratch_path
 
+# Less than the encoder's own, as packing is the last of many stages in the same workers: words that are remembered, and
+# bytes of text that are encoded at a time.
+REMEMBERED_WORDS = 500_000
+TEXT_BYTES = 4 << 20
+
 
 def encoded(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None, end_id: int = 0
@@ -40,10 +45,10 @@ def encoded(
     )
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts_to_ids = encoder(vocabulary).ids
+        texts_to_ids = encoder(vocabulary, REMEMBERED_WORDS).ids
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start, n_texts in in_runs(batch.column(1)):
+            for start, n_texts in in_runs(batch.column(1), TEXT_BYTES):
                 some = batch.slice(start, n_texts)
                 ids, n = with_end(*texts_to_ids(some.column(1)), end_id)
                 ends = at + np.cumsum(n)
@@ -55,6 +60,8 @@ def encoded(
                     [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(values, arrow, strict=True)],
                     schema=arrow,
                 )
+                del some, ids, raw, values
+                pa.default_memory_pool().release_unused()
 
     path = scratch_path(spark, "ids")
     rows.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(path)

@@ -99,7 +99,7 @@ class TextEncoder:
     a blank before white space or at the end are encoded whole, as are all texts under other settings. Special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         said = json.loads(self.tokenizer.to_str())
@@ -110,7 +110,8 @@ class TextEncoder:
         size = self.tokenizer.get_vocab_size()
         # Fixed value: how byte-level vocabularies write a blank.
         self.blank = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.heads, self.rests = Memory(REMEMBERED_WORDS), Memory(REMEMBERED_WORDS // 4)
+        remembered = REMEMBERED_WORDS if remembered is None else remembered
+        self.heads, self.rests = Memory(remembered), Memory(remembered // 4)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         encoded = [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -207,6 +208,6 @@ def with_end(ids: np.ndarray, n: np.ndarray, end_id: int) -> tuple[np.ndarray, n
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, remembered: int | None = None) -> TextEncoder:
     """One per worker process, so that what it remembers lasts over tasks."""
-    return TextEncoder(path)
+    return TextEncoder(path, remembered)
