@@ -27,6 +27,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--ledger", help="where loaded files are written down, so that a delta reads just the others")
     parser.add_argument("--snapshots", action="store_true", help="readers see a load whole or not at all")
     parser.add_argument("--merge-key", action="append", default=[], help="rows with the same key replace one another")
+    parser.add_argument("--state", help="where the report's state is kept, so that only changed months are read")
     parser.add_argument("--stage-by-run", action="store_true", help="make repeated attempts safe")
     parser.add_argument("--clustered", action="store_true", help="input already arrives by month")
     parser.add_argument(
@@ -62,6 +63,7 @@ def main(arguments: list[str] | None = None) -> None:
         new_files_only=options.new_files_only,
         ledger_path=options.ledger,
         snapshots=options.snapshots,
+        state_path=options.state,
         merge_keys=tuple(options.merge_key),
         reader_options=dict(option.split("=", 1) for option in options.reader_option),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -22,11 +23,15 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Ingested:
-    """What a run did: ``full``, ``delta`` or ``skip``, and the mark the next run starts from."""
+    """What a run did: ``full``, ``delta`` or ``skip``, and the mark the next run starts from.
+
+    ``months`` are the year and month of the rows it wrote, where that is known.
+    """
 
     mode: str
     run_id: int | None = None
     watermark: str | None = None
+    months: tuple[tuple[int | None, int | None], ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -123,18 +128,22 @@ def ingest(
         rows = load_new(start, run.run_date)
     else:
         rows = load(start)
-    highest = F.max(watermark_column)
+    highest, months = F.max(watermark_column), None
     if merge and mode == "append":
         loaded = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=highest)
     else:
         rows = latest_per_key(rows, merge.keys, merge.order) if merge else rows
-        loaded = write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=highest)
+        # A table's months are bounded by the calendar, and a set does not change when rows are seen twice.
+        seen = F.struct(highest.cast("string").alias("mark"), F.collect_set(F.struct("year", "month")).alias("months"))
+        written = json.loads(write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=F.to_json(seen)))
+        loaded = written.get("mark")
+        months = tuple((month.get("year"), month.get("month")) for month in written.get("months", ()))
     finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
     if snapshots:
         finished = finished.withColumn("new_snapshot", F.lit(str(base)))
     history.append(runs.follow_up(table, finished, F.lit(began).cast("timestamp")))
     marks = [mark for mark in (start, loaded) if mark is not None]
-    return Ingested(run.load_mode, run.id, max(marks, default=None))
+    return Ingested(run.load_mode, run.id, max(marks, default=None), months)
 
 
 def before_month(mark: str, lookback_days: int) -> str:

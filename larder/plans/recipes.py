@@ -7,15 +7,18 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.operators import recipes
 from larder.plans.ingest import Ingested, Merge, ingest
-from larder.schemas import CLEANSED_RECIPE, RAW_RECIPE
+from larder.schemas import CLEANSED_RECIPE, RAW_RECIPE, REPORT_STATE
 from larder.sources.csv_report import read_csv_report, write_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import read_json_lines
-from larder.sources.lake import read_lake
+from larder.sources.files import exists
+from larder.sources.lake import in_partitions, read_lake, write_lake
 from larder.sources.ledger import FileLedger
+from larder.sources.quarantine import write_apart
 from larder.sources.snapshots import read_current
 
 
@@ -29,7 +32,8 @@ class RecipeJob:
     written down there, and a delta reads just the others, whole. ``strict_durations`` fails the job
     on a duration that cannot be read. ``snapshots`` makes ``lake_path`` a folder of snapshots, whose loads readers see whole
     or not at all. With ``merge_keys`` rows replace those of the same key, the latest by ``merge_order`` staying; files that
-    changed after they were loaded are then loaded again, where otherwise they fail the job.
+    changed after they were loaded are then loaded again, where otherwise they fail the job. ``state_path`` keeps what the
+    report needs of each month, so that after a delta only the months it wrote are read for the next report.
     """
 
     input_path: str
@@ -49,6 +53,7 @@ class RecipeJob:
     snapshots: bool = False
     merge_keys: tuple[str, ...] = ()
     merge_order: tuple[str, ...] = ("datePublished",)
+    state_path: str | None = None
 
 
 def load_recipes(
@@ -110,9 +115,44 @@ def stored_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
     return read_lake(spark, job.lake_path, CLEANSED_RECIPE)
 
 
-def report_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
+def refresh_state(spark: SparkSession, job: RecipeJob, done: Ingested | None = None) -> DataFrame:
+    """The report's state, brought up to the run ``done``.
+
+    After a delta the months that it wrote are summed up anew and take the place of their old state; the others are
+    not read. Everything is summed up after a full load or a merge, and whenever the state is not that of the run
+    before, as after a job that died in between.
+    """
+    covered = f"{job.state_path.rstrip('/')}-runs"
+    kept = spark.read.schema("run_id bigint").parquet(covered).agg(F.max("run_id")).first()[0] if exists(spark, covered) else None
+    if kept is not None and done is not None and (done.mode == "skip" or done.run_id == kept):
+        return read_lake(spark, job.state_path, REPORT_STATE)
+    rows = stored_recipes(spark, job)
+    follows = kept is not None and done is not None and done.mode == "delta" and done.run_id == kept + 1
+    if not follows or done.months is None:
+        write_lake(recipes.report_state(rows), job.state_path, "overwrite")
+    elif done.months:
+        months = [{"year": year, "month": month} for year, month in done.months]
+        changed = rows.where(in_partitions(months, ("year", "month")))
+        write_lake(recipes.report_state(changed), job.state_path, "replace")
+    if done is not None and done.run_id is not None:
+        spark.range(done.run_id, done.run_id + 1).select(F.col("id").alias("run_id")).write.mode("append").parquet(covered)
+    return read_lake(spark, job.state_path, REPORT_STATE)
+
+
+def load_apart(spark: SparkSession, input_path: str | list[str], path: str, mode: str = "overwrite", **reader_options: str) -> None:
+    """Recipe files written in one pass: good recipes, and the lines that cannot be used with their reason.
+
+    The good half is at ``good_path(path)``; ``read_quarantined`` gives the other one. Together they are all lines.
+    """
+    raw = read_json_lines(spark, input_path, RAW_RECIPE, keep_corrupt=True, **reader_options)
+    write_apart(recipes.with_reasons(raw), path, mode)
+
+
+def report_recipes(spark: SparkSession, job: RecipeJob, done: Ingested | None = None) -> DataFrame:
     """Writes the average time per difficulty as one CSV file; returns the names mentioning the term.
 
+    With ``state_path`` the averages come from the state of each month, which ``done`` brings up to date.
+
     The names are left for the caller to show, or written to ``mentions_path`` in full and returned from there.
     """
     stored = stored_recipes(spark, job)
@@ -120,11 +160,15 @@ def report_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
     if job.mentions_path:
         write_csv_report(names, job.mentions_path)
         names = read_csv_report(spark, job.mentions_path, names.schema)
-    prepared = recipes.aggregation_input(stored, job.term)
-    write_csv_report(recipes.difficulty_report(prepared), job.report_path, single_file=True)
+    if job.state_path:
+        report = recipes.report_of_state(refresh_state(spark, job, done))
+    else:
+        report = recipes.difficulty_report(recipes.aggregation_input(stored, job.term))
+    write_csv_report(report, job.report_path, single_file=True)
     return names
 
 
 def run_recipes(spark: SparkSession, job: RecipeJob) -> tuple[Ingested, DataFrame]:
     """The whole job: the report follows whatever the ingestion did, a skipped run included."""
-    return ingest_recipes(spark, job), report_recipes(spark, job)
+    done = ingest_recipes(spark, job)
+    return done, report_recipes(spark, job, done)

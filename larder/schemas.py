@@ -59,3 +59,12 @@ INPUT_FILE = _nullable(
     full_load=T.StringType(),
     run_id=T.LongType(),
 )
+
+REPORT_STATE = _nullable(
+    difficulty=T.StringType(),
+    minutes=T.LongType(),
+    timed=T.LongType(),
+    recipes=T.LongType(),
+    year=T.IntegerType(),
+    month=T.IntegerType(),
+)

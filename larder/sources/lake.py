@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -90,7 +90,7 @@ def write_lake(
     return seen.get["value"] if seen else None
 
 
-def _in_partitions(partitions: Sequence[Row], partition_by: Sequence[str]) -> Column:
+def in_partitions(partitions: Sequence[Row | Mapping], partition_by: Sequence[str]) -> Column:
     """Whether a row is in one of ``partitions``; only their folders are read."""
     inside = F.lit(False)
     for row in partitions:
@@ -130,7 +130,7 @@ def merge_lake(
     same = table.select(*keys, *folders).join(broadcast_if_small(new.select(*keys), stored=True), list(keys), "left_semi")
     months = same.select(*folders).union(new.select(*folders)).distinct().collect()
     new_marked = new.withColumn("_new", F.lit(1))
-    touched = table.where(_in_partitions(months, folders)).withColumn("_new", F.lit(0))
+    touched = table.where(in_partitions(months, folders)).withColumn("_new", F.lit(0))
     merged = latest_per_key(touched.unionByName(new_marked), keys, [*order, "_new"]).drop("_new")
     # Stored, as the folders that it is made of are the ones that are written.
     merged = computed_once(merged)
@@ -182,7 +182,7 @@ def compact_lake(
     )
     slots = spark.createDataFrame(rows, known)
     chosen = [Row(**dict(zip(folders, row, strict=False))) for row in rows]
-    table = read_lake(spark, path, schema).where(_in_partitions(chosen, folders))
+    table = read_lake(spark, path, schema).where(in_partitions(chosen, folders))
     own = F.lit(True)
     for name in folders:
         own &= F.col(name).eqNullSafe(F.col(f"_{name}"))

@@ -9,11 +9,15 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from larder.operators import recipes
 from larder.operators.merge import latest_per_key
-from larder.plans.recipes import RecipeJob, ingest_recipes, load_recipes, stored_recipes
+from larder.plans.recipes import RecipeJob, ingest_recipes, load_apart, load_recipes, run_recipes, stored_recipes
+from larder.schemas import CLEANSED_RECIPE, DIFFICULTY_REPORT
+from larder.sources.csv_report import read_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.lake import compact_lake, merge_lake, read_lake, write_lake
 from larder.sources.ledger import FileLedger
+from larder.sources.quarantine import good_path, read_quarantined
 from larder.sources.snapshots import expire_snapshots
 
 
@@ -274,3 +278,71 @@ def test_compaction_keeps_runs_apart(spark, tmp_path):
 
 def test_load_of_no_files(spark):
     assert load_recipes(spark, []).collect() == []
+
+
+# ---------------------------------------------------------------- incremental report
+
+
+def report_of(spark, job):
+    return dict(map(tuple, read_csv_report(spark, job.report_path, DIFFICULTY_REPORT).collect()))
+
+
+def full_report(spark, job):
+    return dict(map(tuple, recipes.difficulty_report(recipes.aggregation_input(stored_recipes(spark, job))).collect()))
+
+
+def test_report_of_changed_months(spark, tmp_path):
+    job = job_in(spark, tmp_path, state_path=str(tmp_path / "state"))
+    put(tmp_path / "in", "a.json", ("a", "2013-01-05", "PT9M"), ("b", "2013-02-05", "PT40M"), ("c", "2013-02-06", None))
+    run_recipes(spark, job)
+    assert report_of(spark, job) == full_report(spark, job) == {"easy": 10.0, "medium": 41.0, "hard": None}
+    before = lake_files(job.state_path)
+    put(tmp_path / "in", "b.json", ("d", "2013-02-07", "PT50M"), ("e", "2013-03-01", "PT2H"), ("u", "?", "PT19M"))
+    done, _ = run_recipes(spark, job)
+    assert set(done.months) == {(2013, 2), (2013, 3), (None, None)}
+    assert report_of(spark, job) == full_report(spark, job) == {"easy": 15.0, "medium": 46.0, "hard": 121.0}
+    after = lake_files(job.state_path)
+    assert {p.split("/")[-2] for p in before if after.get(p) == before[p]} == {"month=1"}
+    assert run_recipes(spark, job)[0].months == ()
+    assert lake_files(job.state_path) == after and report_of(spark, job) == full_report(spark, job)
+
+
+def test_state_that_missed_a_run(spark, tmp_path):
+    """A job that died between its load and its report: the next report sums up everything."""
+    job = job_in(spark, tmp_path, state_path=str(tmp_path / "state"))
+    put(tmp_path / "in", "a.json", ("a", "2013-01-05", "PT9M"))
+    run_recipes(spark, job)
+    put(tmp_path / "in", "b.json", ("b", "2013-02-05", "PT19M"))
+    ingest_recipes(spark, job)
+    put(tmp_path / "in", "c.json", ("c", "2013-03-05", "PT29M"))
+    run_recipes(spark, job)
+    assert report_of(spark, job) == full_report(spark, job) == {"easy": 15.0, "medium": 30.0}
+
+
+def test_state_with_merged_rows(spark, tmp_path):
+    job = job_in(spark, tmp_path, state_path=str(tmp_path / "state"), merge_keys=("image",))
+    put(tmp_path / "in", "a.json", ("a", "2013-01-05", "PT9M"), ("b", "2013-01-06", "PT19M"))
+    run_recipes(spark, job)
+    put(tmp_path / "in", "b.json", ("b", "2013-02-06", "PT1H"))
+    run_recipes(spark, job)
+    assert report_of(spark, job) == full_report(spark, job) == {"easy": 10.0, "hard": 61.0}
+
+
+# ---------------------------------------------------------------- quarantine
+
+
+def test_lines_put_aside(spark, tmp_path):
+    rows = [("ok", "2013-01-05", "PT9M"), (None, "2013-01-05", "PT9M"), ("undated", None, None), ("date", "soon", "PT9M"), ("time", "2013-01-05", "PTxM")]
+    put(tmp_path / "in", "a.json", *rows)
+    with (tmp_path / "in" / "a.json").open("a") as file:
+        file.write('{bad\n{"name": "cut", "datePub\n')
+    path = str(tmp_path / "t")
+    load_apart(spark, job_in(spark, tmp_path).input_path, path)
+    good = read_lake(spark, good_path(path), CLEANSED_RECIPE)
+    aside = {r.line: r.reason for r in read_quarantined(spark, path, CLEANSED_RECIPE).collect()}
+    assert names(good) == ["ok", "undated"] and good.columns == CLEANSED_RECIPE.fieldNames()
+    assert sorted(aside.values()) == ["date", "duration", "line", "line", "name"]
+    assert aside["{bad"] == "line" and aside['{"name": "cut", "datePub'] == "line"
+    assert [json.loads(line)["name"] for line, reason in aside.items() if reason == "date"] == ["date"]
+    load_apart(spark, [str(tmp_path / "in")], path, "append")
+    assert len(names(read_lake(spark, good_path(path), CLEANSED_RECIPE))) == 4
