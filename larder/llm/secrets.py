@@ -114,8 +114,8 @@ def guess_bits(value: str, ranks: Mapping[str, int] | None = None) -> float:
     Dynamic programming over the ends of segments. A segment is a word of ``ranks`` or else ``WORDS`` (its rank, and
     its capitals and swapped characters; under three letters only if no letter is beside it), a character between
     words, a date, a repeat of the segmentation before it, a copy of three or more earlier characters, a walk along a
-    keyboard row or the alphabet, or brute force (the classes of characters in ``value``). Each segment but the first adds
-    one bit for where it starts. An empty value costs 0.
+    keyboard row or the alphabet, or brute force (the classes of characters in ``value``). Each segment adds
+    one bit for where it ends, but for brute force and for one that is the first character. An empty value costs 0.
     """
     n = len(value)
     low = folded(value)
@@ -280,26 +280,27 @@ def value_costs(values: DataFrame, ranks: DataFrame, least_bits: float = GUESS_B
     """
     spark = values.sparkSession
     let_workers_import(spark)
-    asked = stored(values.select("value").distinct(), "values")
+    asked = stored(values.select("value").distinct().select(text_key("value").alias("key"), "value"), "values")
     longest = ranks.agg(F.max(F.char_length("word"))).first()[0] or 0
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(value: str, words: set[str]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"value": pa.array([value] * len(words), pa.string()), "word": pa.array(list(words), pa.string())})
+        def out(key: bytes, words: set[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"key": pa.array([key] * len(words), pa.binary()), "word": pa.array(list(words), pa.string())})
 
         for batch in batches:
-            for value in batch.column(0).to_pylist():
+            for key, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 words: set[str] = set()
                 for word in candidate_words(value, longest):
                     words.add(word)
                     if len(words) >= WORDS_TOGETHER:
-                        yield out(value, words)
+                        yield out(key, words)
                         words = set()
                 if words:
-                    yield out(value, words)
+                    yield out(key, words)
 
-    held = asked.mapInArrow(pairs, "value string, word string").join(ranks, "word")
-    own = held.groupBy("value").agg(F.collect_set(F.struct("word", "rank")).alias("words"))
+    # The words of a value go with its key, so that a long value is not repeated for each.
+    held = asked.mapInArrow(pairs, "key binary, word string").join(ranks, "word")
+    own = held.groupBy("key").agg(F.collect_set(F.struct("word", "rank")).alias("words"))
     kinds = [pa.field("bits", pa.float64()), pa.field("costly", pa.bool_())]
 
     def cost(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -312,7 +313,7 @@ def value_costs(values: DataFrame, ranks: DataFrame, least_bits: float = GUESS_B
             yield pa.StructArray.from_arrays([pa.array([b for b, _ in bits], pa.float64()), pa.array(dear, pa.bool_())], fields=kinds)
 
     costs = F.arrow_udf(cost, "struct<bits:double,costly:boolean>").asNondeterministic()
-    return asked.join(own, "value", "left").select("value", costs("value", "words").alias("c")).select("value", "c.*")
+    return asked.join(own, "key", "left").select("value", costs("value", "words").alias("c")).select("value", "c.*")
 
 
 def in_order(spans: Sequence[Span]) -> list[Span]:
