@@ -28,6 +28,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--snapshots", action="store_true", help="readers see a load whole or not at all")
     parser.add_argument("--merge-key", action="append", default=[], help="rows with the same key replace one another")
     parser.add_argument("--state", help="where the report's state is kept, so that only changed months are read")
+    parser.add_argument("--reconcile", action="store_true", help="replace the months that differ between input and table")
+    parser.add_argument("--sort-by", action="append", default=[], help="column by which the rows of a file are ordered")
+    parser.add_argument("--claims", help="where attempts at a run are marked, so that two at a time do not both load")
     parser.add_argument("--stage-by-run", action="store_true", help="make repeated attempts safe")
     parser.add_argument("--clustered", action="store_true", help="input already arrives by month")
     parser.add_argument(
@@ -64,6 +67,9 @@ def main(arguments: list[str] | None = None) -> None:
         ledger_path=options.ledger,
         snapshots=options.snapshots,
         state_path=options.state,
+        reconcile=options.reconcile,
+        sort_by=tuple(options.sort_by),
+        claims_path=options.claims,
         merge_keys=tuple(options.merge_key),
         reader_options=dict(option.split("=", 1) for option in options.reader_option),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
@@ -12,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators import history as runs
+from larder.operators.digests import differing_groups
 from larder.operators.merge import latest_per_key
+from larder.sources.claims import RunClaims
 from larder.sources.history_table import HistoryTable
-from larder.sources.lake import merge_lake, write_lake
+from larder.sources.lake import in_partitions, merge_lake, read_lake, write_lake
 from larder.sources.ledger import FileLedger
 from larder.sources.snapshots import snapshot_path, stored_snapshot
 
@@ -56,6 +59,9 @@ def ingest(
     load_files: Callable[[list[str]], DataFrame] | None = None,
     snapshots: bool = False,
     merge: Merge | None = None,
+    reconcile: bool = False,
+    sort_by: Sequence[str] = (),
+    claims: RunClaims | None = None,
 ) -> Ingested:
     """Runs a pipeline once.
 
@@ -80,6 +86,15 @@ def ingest(
     the current one, and the history row makes either visible to ``read_current``.
 
     With ``merge`` rows replace those of the same key, in a full load and in deltas (``merge_lake``).
+
+    With ``reconcile`` a delta compares digests of each month between all input and the table, and replaces just the months that
+    differ, so rows that are late by any time, undated ones and corrections get in. Months that the input no longer
+    holds stay. A month of which it holds fewer rows than the table fails the run before anything is written, as part of it may
+    be gone from the input.
+
+    With ``sort_by`` the rows of each file are in that order (``write_lake``).
+
+    With ``claims`` of several attempts at one run the first loads and the others end in ``skip``.
     """
     if ledger and not load_files:
         raise ValueError("a ledger needs a function that loads its files")
@@ -89,6 +104,8 @@ def ingest(
         raise ValueError("snapshots keep their runs apart, so rows are neither staged again nor replaced")
     if merge and (stage_by_run or lookback_days):
         raise ValueError("rows replaced by key are neither staged by run nor looked back for")
+    if reconcile and (stage_by_run or lookback_days or load_new or ledger or snapshots or merge):
+        raise ValueError("months are compared with all input and replaced, which goes with no other kind of delta")
     if lookback_days and (stage_by_run or load_new):
         raise ValueError("a lookback replaces months, for which it needs all input and no run folders")
     began = datetime.now(timezone.utc)
@@ -110,40 +127,66 @@ def ingest(
     if run.filter_col1_name not in (None, watermark_column):
         raise ValueError(f"run {run.id} of {etl_name} marks {run.filter_col1_name}, not {watermark_column}")
 
-    start = None if run.load_mode == "full" else run.stored_watermark
-    target, folder = lake_path, run.id if stage_by_run else None
-    base = run.id if start is None else stored_snapshot(run)
-    if snapshots:
-        if base is None:
-            raise ValueError(f"run {run.id} of {etl_name} has no snapshot to add to; load in full first")
-        target, folder = snapshot_path(lake_path, base), run.id
-    mode = "overwrite" if start is None else "append"
-    if ledger:
-        rows = load_files(ledger.claim(etl_name, run.id, full=start is None))
-    elif start is None:
-        rows = load(None)
-    elif lookback_days:
-        rows, mode = load(before_month(start, lookback_days)), "replace"
-    elif load_new:
-        rows = load_new(start, run.run_date)
-    else:
-        rows = load(start)
-    highest, months = F.max(watermark_column), None
-    if merge and mode == "append":
-        loaded = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=highest)
-    else:
-        rows = latest_per_key(rows, merge.keys, merge.order) if merge else rows
-        # A table's months are bounded by the calendar, and a set does not change when rows are seen twice.
-        seen = F.struct(highest.cast("string").alias("mark"), F.collect_set(F.struct("year", "month")).alias("months"))
-        written = json.loads(write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=F.to_json(seen)))
-        loaded = written.get("mark")
-        months = tuple((month.get("year"), month.get("month")) for month in written.get("months", ()))
-    finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
-    if snapshots:
-        finished = finished.withColumn("new_snapshot", F.lit(str(base)))
-    history.append(runs.follow_up(table, finished, F.lit(began).cast("timestamp")))
-    marks = [mark for mark in (start, loaded) if mark is not None]
-    return Ingested(run.load_mode, run.id, max(marks, default=None), months)
+    claim = claims.claim(etl_name, run.id) if claims else None
+    if claims and claim is None:
+        log.warning("run %s of %s belongs to another attempt, nothing loaded", run.id, etl_name)
+        return Ingested("skip", run.id, run.stored_watermark)
+    with claim or nullcontext():
+        now = runs.current_runs(history.read(), etl_name).first() if claim else run
+        if now is None or now.id != run.id:
+            claim.release()
+            log.warning("run %s of %s is over, nothing loaded", run.id, etl_name)
+            return Ingested("skip", run.id, run.stored_watermark)
+        start = None if run.load_mode == "full" else run.stored_watermark
+        target, folder = lake_path, run.id if stage_by_run else None
+        base = run.id if start is None else stored_snapshot(run)
+        if snapshots:
+            if base is None:
+                raise ValueError(f"run {run.id} of {etl_name} has no snapshot to add to; load in full first")
+            target, folder = snapshot_path(lake_path, base), run.id
+        mode = "overwrite" if start is None else "append"
+        if ledger:
+            rows = load_files(ledger.claim(etl_name, run.id, full=start is None))
+        elif start is None:
+            rows = load(None)
+        elif reconcile:
+            rows, mode = changed_months(load(None), target), "replace"
+        elif lookback_days:
+            rows, mode = load(before_month(start, lookback_days)), "replace"
+        elif load_new:
+            rows = load_new(start, run.run_date)
+        else:
+            rows = load(start)
+        highest, months = F.max(watermark_column), None
+        if merge and mode == "append":
+            loaded = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=highest, sort_by=sort_by)
+        else:
+            rows = latest_per_key(rows, merge.keys, merge.order) if merge else rows
+            # A table's months are bounded by the calendar, and a set does not change when rows are seen twice.
+            seen = F.struct(highest.cast("string").alias("mark"), F.collect_set(F.struct("year", "month")).alias("months"))
+            noted = write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=F.to_json(seen), sort_by=sort_by)
+            written = json.loads(noted)
+            loaded = written.get("mark")
+            months = tuple((month.get("year"), month.get("month")) for month in written.get("months", ()))
+        finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
+        if snapshots:
+            finished = finished.withColumn("new_snapshot", F.lit(str(base)))
+        if claim and not claim.held():
+            raise RuntimeError(f"run {run.id} of {etl_name} was taken over by a later attempt")
+        history.append(runs.follow_up(table, finished, F.lit(began).cast("timestamp")))
+        marks = [mark for mark in (start, loaded) if mark is not None]
+        return Ingested(run.load_mode, run.id, max(marks, default=None), months)
+
+
+def changed_months(rows: DataFrame, path: str) -> DataFrame:
+    """Of all input the months whose rows are not those of the table at ``path``. Months are bounded by the calendar."""
+    folders = ["year", "month"]
+    stored = read_lake(rows.sparkSession, path, rows.schema)
+    months = differing_groups(rows, stored, folders).collect()
+    fewer = sorted((f"{month.year}-{month.month}" for month in months if month.rows < month.old_rows))
+    if fewer:
+        raise ValueError(f"the input holds fewer rows than the table of {', '.join(fewer)}; load in full if that is meant")
+    return rows.where(in_partitions(months, folders))
 
 
 def before_month(mark: str, lookback_days: int) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from larder.operators import recipes
 from larder.plans.ingest import Ingested, Merge, ingest
 from larder.schemas import CLEANSED_RECIPE, RAW_RECIPE, REPORT_STATE
+from larder.sources.claims import RunClaims
 from larder.sources.csv_report import read_csv_report, write_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.json_lines import read_json_lines
@@ -33,7 +34,9 @@ class RecipeJob:
     on a duration that cannot be read. ``snapshots`` makes ``lake_path`` a folder of snapshots, whose loads readers see whole
     or not at all. With ``merge_keys`` rows replace those of the same key, the latest by ``merge_order`` staying; files that
     changed after they were loaded are then loaded again, where otherwise they fail the job. ``state_path`` keeps what the
-    report needs of each month, so that after a delta only the months it wrote are read for the next report.
+    report needs of each month, so that after a delta only the months it wrote are read for the next report. ``reconcile`` lets a
+    delta replace just the months whose rows differ between input and table. ``sort_by`` orders the rows of each file, which lets
+    readers pass over parts of a month. With ``claims_path`` of two attempts at a run the second one ends in ``skip``.
     """
 
     input_path: str
@@ -54,6 +57,9 @@ class RecipeJob:
     merge_keys: tuple[str, ...] = ()
     merge_order: tuple[str, ...] = ("datePublished",)
     state_path: str | None = None
+    reconcile: bool = False
+    sort_by: tuple[str, ...] = ()
+    claims_path: str | None = None
 
 
 def load_recipes(
@@ -73,8 +79,8 @@ def load_recipes(
 
 def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
     """Loads the recipe table as its run history asks."""
-    if job.lookback_days and "modifiedAfter" in job.reader_options:
-        raise ValueError("a lookback replaces months, for which it needs all input files")
+    if (job.lookback_days or job.reconcile) and "modifiedAfter" in job.reader_options:
+        raise ValueError("a lookback or a comparison replaces months, for which it needs all input files")
 
     def load(mark: str | None, **more: str) -> DataFrame:
         options = {**job.reader_options, **more}
@@ -105,6 +111,9 @@ def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
         load_files=load_files,
         snapshots=job.snapshots,
         merge=Merge(job.merge_keys, job.merge_order) if job.merge_keys else None,
+        reconcile=job.reconcile,
+        sort_by=job.sort_by,
+        claims=RunClaims(spark, job.claims_path) if job.claims_path else None,
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +44,35 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> bool:
     system, folder = _system(spark, path)
     return system.delete(folder, True)
+
+
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Makes an empty file; False if there is one already. Of several callers at a time one gets True.
+
+    The file system decides: HDFS and the local one do so atomically, an object store only if it writes on condition.
+    """
+    system, file = _system(spark, path)
+    system.mkdirs(file.getParent())
+    if system.getScheme() == "file":
+        # Hadoop's local file system looks first and creates then; the operating system does both at once.
+        return spark.sparkContext._jvm.java.io.File(file.toUri().getPath()).createNewFile()
+    try:
+        system.create(file, False).close()
+    except Py4JJavaError as failed:
+        if failed.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def plain_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """The names of the files right below ``path`` with their times of change, in milliseconds."""
+    system, folder = _system(spark, path)
+    if not system.exists(folder):
+        return {}
+    return {entry.getPath().getName(): entry.getModificationTime() for entry in system.listStatus(folder) if entry.isFile()}
+
+
+def remove_file(spark: SparkSession, path: str) -> bool:
+    system, file = _system(spark, path)
+    return system.delete(file, False)

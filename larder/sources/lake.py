@@ -56,6 +56,8 @@ def write_lake(
     run_id: int | None = None,
     clustered: bool = False,
     observe: Column | None = None,
+    sort_by: Sequence[str] = (),
+    **options: str,
 ) -> str | None:
     """Writes a partitioned table; returns the value of ``observe`` over the rows written.
 
@@ -67,6 +69,10 @@ def write_lake(
 
     ``observe`` is an aggregate such as ``max``, computed while writing. It must not change when
     rows are seen twice, because a lost executor's tasks run again.
+
+    ``sort_by`` orders the rows of each file, so that the least and greatest values which parquet keeps of every row group
+    let readers pass over groups inside a month. Tasks sort what they write anyway by partition, so it adds no
+    shuffle and no second sort. Other ``options`` go to the writer, such as ``parquet.block.size``, the bytes of a row group.
     """
     folders = list(partition_by)
     if mode == "replace" and run_id is not None:
@@ -84,8 +90,10 @@ def write_lake(
     if observe is not None:
         seen = Observation()
         arranged = arranged.observe(seen, observe.cast("string").alias("value"))
+    if sort_by:
+        arranged = arranged.sortWithinPartitions(*folders, *sort_by)
     # Said here, so that what is replaced does not hang on the session's setting.
-    writer = arranged.write.option("partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
+    writer = arranged.write.options(**options).option("partitionOverwriteMode", "dynamic" if mode == "replace" else "static")
     writer.mode("overwrite" if mode == "replace" else mode).partitionBy(*folders).parquet(path)
     return seen.get["value"] if seen else None
 
@@ -109,6 +117,7 @@ def merge_lake(
     order: Sequence[str],
     partition_by: Sequence[str] = ("year", "month"),
     observe: Column | None = None,
+    sort_by: Sequence[str] = (),
 ) -> str | None:
     """Puts ``df`` into a partitioned table, where rows of the same ``keys`` replace one another; returns ``observe`` over
     the rows of ``df``.
@@ -134,7 +143,7 @@ def merge_lake(
     merged = latest_per_key(touched.unionByName(new_marked), keys, [*order, "_new"]).drop("_new")
     # Stored, as the folders that it is made of are the ones that are written.
     merged = computed_once(merged)
-    write_lake(merged, path, "replace", folders)
+    write_lake(merged, path, "replace", folders, sort_by=sort_by)
     left = {tuple(row) for row in merged.select(*folders).distinct().collect()}
     for row in months:
         if tuple(row) not in left:
@@ -149,12 +158,13 @@ def compact_lake(
     schema: T.StructType,
     partition_by: Sequence[str] = ("year", "month"),
     file_bytes: int = 256 << 20,
+    sort_by: Sequence[str] = (),
 ) -> int:
     """Merges the files of each month into as few as its bytes need at ``file_bytes`` each; returns the months written.
 
     Only months with more files than that are read and written; the others are not touched. A month's rows are dealt
-    evenly to its files whatever they hold, each file being written by a task of its own. The months' folders are replaced
-    one after the other, so readers should not run meanwhile.
+    evenly to its files whatever they hold, each file being written by a task of its own and ordered by ``sort_by``. The months'
+    folders are replaced one after the other, so readers should not run meanwhile.
     """
     folders = list(partition_by)
     if _has_runs(spark, path):
@@ -189,5 +199,7 @@ def compact_lake(
     slot = F.col("_first") + F.monotonically_increasing_id() % F.col("_n")
     dealt = table.join(F.broadcast(slots), own).withColumn("_slot", slot.cast("int"))
     packed = dealt.repartitionById(first, "_slot").select(*schema.fieldNames())
+    if sort_by:
+        packed = packed.sortWithinPartitions(*folders, *sort_by)
     packed.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*folders).parquet(path)
     return len(months)

@@ -1,9 +1,12 @@
 """The recipe jobs over recipe files that Spark writes from the documents."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from larder.operators import history as runs
 from larder.operators import recipes
+from larder.operators.digests import differing_groups, group_digests
 from larder.operators.merge import latest_per_key
 from larder.plans.recipes import (
     RecipeJob,
@@ -351,6 +354,49 @@ def report_incremental(spark, sf_dir):
     return read_csv_report(spark, job.report_path, DIFFICULTY_REPORT)
 
 
+@query(f"WITH {CLEANSED_SQL} {FLAT_SQL}")
+def ingest_reconciled(spark, sf_dir):
+    """Batches whose rows are of all dates and none: each delta replaces the months that differ from the input."""
+    return flat(stored_recipes(spark, in_three_batches(spark, sf_dir, reconcile=True)))
+
+
+# What the images' numbers say about the rows that are missing from the older table, and those that are changed there.
+@query(f"""WITH {CLEANSED_SQL}, numbered AS (SELECT year(datePublished) AS y, month(datePublished) AS m,
+        CAST(split_part(image, '/', 4) AS BIGINT) % 97 AS n FROM cleansed)
+    SELECT CAST(y AS INTEGER) AS "year", CAST(m AS INTEGER) AS "month", count(*) AS "rows", count(*) FILTER (WHERE n <> 5) AS old_rows
+    FROM numbered GROUP BY y, m HAVING count(*) FILTER (WHERE n IN (5, 11)) > 0""")
+def months_that_differ(spark, sf_dir):
+    """Months of which an older table lacks rows or has other ones, found by their digests."""
+    new = load_recipes(spark, recipe_files(spark, sf_dir))
+    number = F.element_at(F.split("image", "/"), -1).cast("bigint") % 97
+    old = new.where(number != 5).withColumn("url", F.when(number == 11, "elsewhere").otherwise(F.col("url")))
+    return differing_groups(new, old, ["year", "month"])
+
+
+@query(f"""WITH {CLEANSED_SQL} SELECT CAST(year(datePublished) AS INTEGER) AS "year", count(*) AS "rows" FROM cleansed
+    GROUP BY ALL""")
+def digests_of_copies(spark, sf_dir):
+    """Tables of the same rows in another order and layout have the same digests, so all groups are found in both."""
+    stored = load_recipes(spark, recipe_files(spark, sf_dir))
+    moved = stored.repartition(7, "image")
+    digests = [group_digests(df, ["year"]) for df in (stored, moved)]
+    return digests[0].intersect(digests[1]).select("year", "rows")
+
+
+@query(f"WITH {CLEANSED_SQL} {FLAT_SQL}")
+def ingest_two_attempts(spark, sf_dir):
+    """Two attempts at each run at the same time; only one of them loads its files."""
+
+    def twice(spark, job):
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(lambda attempt: ingest_recipes(spark, job), range(2)))
+
+    job = in_three_batches(
+        spark, sf_dir, twice, ledger_path=scratch_path(spark, "ledger"), claims_path=scratch_path(spark, "claims")
+    )
+    return flat(stored_recipes(spark, job))
+
+
 def apart(spark, sf_dir):
     """Recipe files, some lines of which are cut off, written with the unusable ones aside."""
     path, table_path = scratch_path(spark, "lines"), scratch_path(spark, "apart")

@@ -130,6 +130,16 @@ def parquet_date_range(spark, sf_dir):
     return dated_between(stored, "order_date", "1996-11-20", "1997-02-03")
 
 
+@query(MONTHLY_SQL + " WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-11-20' AND DATE '1996-11-23'")
+def parquet_date_range_sorted(spark, sf_dir):
+    """A few days: of their month only the row groups are read that hold them."""
+    orders = orders_by_month(spark, sf_dir)
+    path = scratch_path(spark, "orders")
+    write_lake(orders, path, "overwrite", sort_by=["order_date"], **{"parquet.block.size": str(1 << 20)})
+    stored = read_lake(spark, path, orders.schema)
+    return dated_between(stored, "order_date", "1996-11-20", "1996-11-23")
+
+
 @query("SELECT CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS watermark, count(*) AS n FROM orders")
 def watermark_observed(spark, sf_dir):
     """The largest date, taken in the pass that writes the rows."""
