@@ -31,6 +31,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--reconcile", action="store_true", help="replace the months that differ between input and table")
     parser.add_argument("--sort-by", action="append", default=[], help="column by which the rows of a file are ordered")
     parser.add_argument("--claims", help="where attempts at a run are marked, so that two at a time do not both load")
+    parser.add_argument("--profiles", help="where numbers and sketches of each run's rows are kept")
     parser.add_argument("--stage-by-run", action="store_true", help="make repeated attempts safe")
     parser.add_argument("--clustered", action="store_true", help="input already arrives by month")
     parser.add_argument(
@@ -70,6 +71,7 @@ def main(arguments: list[str] | None = None) -> None:
         reconcile=options.reconcile,
         sort_by=tuple(options.sort_by),
         claims_path=options.claims,
+        profiles_path=options.profiles,
         merge_keys=tuple(options.merge_key),
         reader_options=dict(option.split("=", 1) for option in options.reader_option),
     )

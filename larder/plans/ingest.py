@@ -19,6 +19,7 @@ from larder.sources.claims import RunClaims
 from larder.sources.history_table import HistoryTable
 from larder.sources.lake import in_partitions, merge_lake, read_lake, write_lake
 from larder.sources.ledger import FileLedger
+from larder.sources.profiles import RunProfiles
 from larder.sources.snapshots import snapshot_path, stored_snapshot
 
 log = logging.getLogger(__name__)
@@ -62,6 +63,7 @@ def ingest(
     reconcile: bool = False,
     sort_by: Sequence[str] = (),
     claims: RunClaims | None = None,
+    profiles: RunProfiles | None = None,
 ) -> Ingested:
     """Runs a pipeline once.
 
@@ -95,6 +97,8 @@ def ingest(
     With ``sort_by`` the rows of each file are in that order (``write_lake``).
 
     With ``claims`` of several attempts at one run the first loads and the others end in ``skip``.
+
+    With ``profiles`` numbers and sketches of the rows are taken in the same pass and stored for the run.
     """
     if ledger and not load_files:
         raise ValueError("a ledger needs a function that loads its files")
@@ -157,17 +161,23 @@ def ingest(
             rows = load_new(start, run.run_date)
         else:
             rows = load(start)
-        highest, months = F.max(watermark_column), None
+        # A table's months are bounded by the calendar, and a set does not change when rows are seen twice.
+        months = F.collect_set(F.struct("year", "month")).alias("months")
+        seen = [F.max(watermark_column).cast("string").alias("mark"), months]
+        if profiles:
+            seen.append(profiles.observed().alias("profile"))
+        observe = F.to_json(F.struct(*seen))
         if merge and mode == "append":
-            loaded = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=highest, sort_by=sort_by)
+            noted = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=observe, sort_by=sort_by)
         else:
             rows = latest_per_key(rows, merge.keys, merge.order) if merge else rows
-            # A table's months are bounded by the calendar, and a set does not change when rows are seen twice.
-            seen = F.struct(highest.cast("string").alias("mark"), F.collect_set(F.struct("year", "month")).alias("months"))
-            noted = write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=F.to_json(seen), sort_by=sort_by)
-            written = json.loads(noted)
-            loaded = written.get("mark")
+            noted = write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=observe, sort_by=sort_by)
+        written = json.loads(noted)
+        loaded, months = written.get("mark"), None
+        if not (merge and mode == "append"):  # which writes other months as well
             months = tuple((month.get("year"), month.get("month")) for month in written.get("months", ()))
+        if profiles:
+            profiles.store(etl_name, run.id, start is None, written["profile"])
         finished = current.where(F.col("id") == run.id).withColumn("new_watermark", F.lit(loaded))
         if snapshots:
             finished = finished.withColumn("new_snapshot", F.lit(str(base)))

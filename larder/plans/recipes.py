@@ -19,6 +19,7 @@ from larder.sources.json_lines import read_json_lines
 from larder.sources.files import exists
 from larder.sources.lake import in_partitions, read_lake, write_lake
 from larder.sources.ledger import FileLedger
+from larder.sources.profiles import RunProfiles
 from larder.sources.quarantine import write_apart
 from larder.sources.snapshots import read_current
 
@@ -37,6 +38,7 @@ class RecipeJob:
     report needs of each month, so that after a delta only the months it wrote are read for the next report. ``reconcile`` lets a
     delta replace just the months whose rows differ between input and table. ``sort_by`` orders the rows of each file, which lets
     readers pass over parts of a month. With ``claims_path`` of two attempts at a run the second one ends in ``skip``.
+    ``profiles_path`` keeps numbers and sketches of what each run wrote.
     """
 
     input_path: str
@@ -60,6 +62,7 @@ class RecipeJob:
     reconcile: bool = False
     sort_by: tuple[str, ...] = ()
     claims_path: str | None = None
+    profiles_path: str | None = None
 
 
 def load_recipes(
@@ -114,9 +117,14 @@ def ingest_recipes(spark: SparkSession, job: RecipeJob) -> Ingested:
         reconcile=job.reconcile,
         sort_by=job.sort_by,
         claims=RunClaims(spark, job.claims_path) if job.claims_path else None,
+        profiles=recipe_profiles(spark, job) if job.profiles_path else None,
     )
 
 
+def recipe_profiles(spark: SparkSession, job: RecipeJob) -> RunProfiles:
+    return RunProfiles(spark, job.profiles_path, ("recipeName", "datePublished"), ("cookTimeMinutes", "prepTimeMinutes"))
+
+
 def stored_recipes(spark: SparkSession, job: RecipeJob) -> DataFrame:
     """The recipes that finished runs have loaded."""
     if job.snapshots:

@@ -60,6 +60,16 @@ INPUT_FILE = _nullable(
     run_id=T.LongType(),
 )
 
+RUN_PROFILE = _nullable(
+    column=T.StringType(),
+    rows=T.LongType(),
+    nulls=T.LongType(),
+    different=T.BinaryType(),
+    numbers=T.BinaryType(),
+    full_load=T.StringType(),
+    run_id=T.LongType(),
+)
+
 REPORT_STATE = _nullable(
     difficulty=T.StringType(),
     minutes=T.LongType(),

@@ -13,6 +13,7 @@ from larder.plans.recipes import (
     ingest_recipes,
     load_apart,
     load_recipes,
+    recipe_profiles,
     report_recipes,
     run_recipes,
     stored_recipes,
@@ -22,6 +23,7 @@ from larder.sources.csv_report import read_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.lake import read_lake
 from larder.sources.ledger import FileLedger
+from larder.sources.profiles import merged_profiles
 from larder.sources.quarantine import good_path, read_quarantined
 from larder.sources.snapshots import expire_snapshots
 from larder.sources.shared import scratch_path
@@ -397,6 +399,38 @@ def ingest_two_attempts(spark, sf_dir):
     return flat(stored_recipes(spark, job))
 
 
+@query(f"""WITH {CLEANSED_SQL}, long AS (UNPIVOT (SELECT 1 AS one, coalesce(recipeName, '') AS recipeName,
+        coalesce(CAST(datePublished AS VARCHAR), '-') AS datePublished, coalesce(CAST(cookTimeMinutes AS VARCHAR), '-') AS cookTimeMinutes,
+        coalesce(CAST(prepTimeMinutes AS VARCHAR), '-') AS prepTimeMinutes FROM cleansed)
+        ON recipeName, datePublished, cookTimeMinutes, prepTimeMinutes INTO NAME "column" VALUE v)
+    SELECT "column", 3 AS runs, count(*) AS "rows", count(*) FILTER (WHERE v = '-') AS nulls,
+        CAST("column" IN ('recipeName', 'datePublished') AS INTEGER) AS distinct_near,
+        CAST("column" IN ('cookTimeMinutes', 'prepTimeMinutes') AS INTEGER) AS quantiles_near FROM long GROUP BY ALL""")
+def profile_of_runs(spark, sf_dir):
+    """Profiles of three runs added up: exact counts, and sketches as near the exact values as is stated for them."""
+    paths = {"ledger_path": scratch_path(spark, "ledger"), "profiles_path": scratch_path(spark, "profiles")}
+    job = in_three_batches(spark, sf_dir, **paths)
+    # The fourth run had nothing to load; its profile, of no rows, is left out here.
+    merged = merged_profiles(recipe_profiles(spark, job).stored(job.etl_name, 4))
+    stored = read_lake(spark, job.lake_path, CLEANSED_RECIPE)
+    names = ("recipeName", "datePublished", "cookTimeMinutes", "prepTimeMinutes")
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value")) for n in names)))
+    exact = stored.select(each.alias("c")).select("c.*").groupBy("name").agg(F.countDistinct("value").alias("exact"))
+    values = stored.select(each.alias("c")).select("c.name", F.col("c.value").try_cast("bigint").alias("value"))
+    joined = values.join(F.broadcast(merged), F.col("name") == F.col("column"))
+    near = F.lit(True)
+    for i, rank in enumerate((0.25, 0.5, 0.75)):
+        quantile = F.element_at("quantiles", i + 1)
+        below = F.avg(F.when(F.col("value").isNotNull(), (F.col("value") < quantile).cast("int")))
+        upto = F.avg(F.when(F.col("value").isNotNull(), (F.col("value") <= quantile).cast("int")))
+        near &= (below <= rank + 0.01) & (upto >= rank - 0.01)
+    placed = joined.groupBy("name").agg(F.coalesce(near, F.lit(False)).cast("int").alias("quantiles_near"))
+    close = F.coalesce(F.abs(F.col("different") - F.col("exact")) <= 0.05 * F.col("exact"), F.lit(False)).cast("int")
+    # Four rows a side, one per column.
+    found = merged.join(F.broadcast(exact), F.col("column") == F.col("name")).drop("name").join(F.broadcast(placed), F.col("column") == F.col("name"))
+    return found.select("column", F.col("runs").cast("int").alias("runs"), "rows", "nulls", close.alias("distinct_near"), "quantiles_near")
+
+
 def apart(spark, sf_dir):
     """Recipe files, some lines of which are cut off, written with the unusable ones aside."""
     path, table_path = scratch_path(spark, "lines"), scratch_path(spark, "apart")
