@@ -367,6 +367,11 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _n_of_kind(spans: str, kind: int) -> Column:
+    """How many spans are of a kind. The lambda takes one argument: a second one would be given the element's index."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def scan(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -392,7 +397,7 @@ def scan(
     secret = F.filter("guesses", lambda g: g["costly"] & ~g["inside"])
     kind = F.lit(KINDS.index("guess"))
     more = F.transform(secret, lambda g: F.struct(g["start"].alias("start"), kind.alias("kind"), g["end"].alias("end")))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(3)]
+    counts = [_n_of_kind("base", k).alias(f"n_{KINDS[k]}") for k in range(3)]
     bits = F.transform("guesses", lambda g: F.concat_ws(":", g["start"].cast("string"), g["end"].cast("string"), F.round(g["bits"], 2).cast("string")))
     return both.select(
         "id",

@@ -3,7 +3,7 @@
 import math
 import random
 import re
-from itertools import combinations
+from itertools import combinations, permutations
 
 import pytest
 
@@ -129,3 +129,15 @@ def test_pipeline_stage_redacts_guesses_by_corpus_words(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     out = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.secret_values(spark, docs, "").collect()}
     assert out[20] == ("pwd: umbrellagarden", 19) and out[21] == ("pwd: [secret]", 13) and out[22] == (None, None)
+
+
+def test_scan_counts_each_kind_wherever_its_spans_stand(spark):
+    """Spans of every kind in every order, several of one kind, and none."""
+    one = {"assign": "token=abcdefgh", "access": "AKIA" + "Z9" * 8, "hex": "0a1b2c3d" * 3}
+    orders = [[], *([kind] for kind in one), *permutations(one), ["hex"] * 3, ["assign"] * 4, ["access", "access", "hex", "assign", "hex"]]
+    texts = [(i, " ; ".join(one[kind] for kind in order)) for i, order in enumerate(orders)]
+    found = {r.id: r for r in secrets.scan(spark.createDataFrame([*texts, (-1, None)], "doc_id int, text string")).collect()}
+    assert (found[-1].n_assign, found[-1].n_access, found[-1].n_hex) == (0, 0, 0)
+    for i, order in enumerate(orders):
+        assert [span.split(":")[0] for span in found[i].base.split(",") if span] == list(order)
+        assert (found[i].n_assign, found[i].n_access, found[i].n_hex) == tuple(map(list(order).count, one))
