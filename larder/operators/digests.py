@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _parts(field: T.StructField) -> T.DataType:
+    """The type of a column's values, or of those inside its arrays."""
+    return field.dataType.elementType if isinstance(field.dataType, T.ArrayType) else field.dataType
+
+
+def can_digest(schema: T.StructType) -> bool:
+    """Whether all columns are plain values or arrays of those."""
+    return not any(isinstance(_parts(field), (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for field in schema)
+
+
 def _hashed(schema: T.StructType) -> Iterator[Column]:
     """What a row's hash is made of. Hashing passes over NULLs and joins arrays, so both are told apart by values of their own."""
     for field in schema:
         column = F.col(f"`{field.name}`")
-        kinds = [field.dataType.elementType] if isinstance(field.dataType, T.ArrayType) else [field.dataType]
-        if isinstance(kinds[0], (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        if not can_digest(T.StructType([field])):
             raise ValueError(f"{field.name} is neither a plain value nor an array of plain values")
         yield column
         yield column.isNull()

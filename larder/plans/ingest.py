@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from larder.operators import history as runs
 from larder.operators.digests import differing_groups
-from larder.operators.merge import latest_per_key
 from larder.sources.claims import RunClaims
 from larder.sources.history_table import HistoryTable
 from larder.sources.lake import in_partitions, merge_lake, read_lake, write_lake
+from larder.sources.latest import latest_rows
 from larder.sources.ledger import FileLedger
 from larder.sources.profiles import RunProfiles
 from larder.sources.snapshots import snapshot_path, stored_snapshot
@@ -170,8 +170,8 @@ def ingest(
         if merge and mode == "append":
             noted = merge_lake(rows, target, rows.schema, merge.keys, merge.order, observe=observe, sort_by=sort_by)
         else:
-            rows = latest_per_key(rows, merge.keys, merge.order) if merge else rows
-            noted = write_lake(rows, target, mode, run_id=folder, clustered=clustered, observe=observe, sort_by=sort_by)
+            with latest_rows(rows, merge.keys, merge.order) if merge else nullcontext(rows) as kept:
+                noted = write_lake(kept, target, mode, run_id=folder, clustered=clustered, observe=observe, sort_by=sort_by)
         written = json.loads(noted)
         loaded, months = written.get("mark"), None
         if not (merge and mode == "append"):  # which writes other months as well

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.operators.merge import latest_per_key
+from larder.operators.digests import can_digest, differing_groups
 from larder.sources.files import listed_files, remove_folder, subfolders
-from larder.sources.shared import broadcast_if_small, computed_once
+from larder.sources.latest import WHERE, latest_located, located, written_once
+from larder.sources.shared import broadcast_if_small
 
 # Fewest shuffle partitions for arranging a table: above the number of months it usually holds, so
 # that they rarely share one. Adaptive execution merges the small ones.
@@ -125,31 +126,37 @@ def merge_lake(
     Of the rows of a key the one greatest by ``order`` stays, whether it is new or was there, and the new one of equals. Rows
     with a NULL key are added. Merging the same rows again changes nothing, but for those.
 
-    The key columns of the table are read to find the months that hold an earlier row of a key. Those months, and the
-    months of the new rows, are written anew; no others are. Their number is bounded by the calendar, so they are filtered by
-    value. A month whose rows all moved elsewhere is removed. The months' folders are replaced one after the other, so
-    readers should not run meanwhile, and a merge that died is to be run again.
+    The key columns of the table are read to find the months that hold an earlier row of a key. Of those months, and the
+    months of the new rows, the ones whose digest (``group_digests``) changes are written anew; no others are. Columns that
+    have no digest, such as structs, have all of them written. Their number is bounded by the calendar, so they are filtered by
+    value. A month whose rows all moved elsewhere is removed. Which rows stay is found from their keys, so that whole rows are
+    stored once, if new, and shuffled once, when they are written (``latest_located``). The months' folders are replaced one
+    after the other, so readers should not run meanwhile, and a merge that died is to be run again.
     """
     spark = df.sparkSession
     folders = list(partition_by)
     if _has_runs(spark, path):
         raise ValueError(f"{path} keeps its runs apart, so their rows cannot replace one another")
-    new = computed_once(latest_per_key(df.select(*schema.fieldNames()), keys, order))
-    table = read_lake(spark, path, schema)
-    same = table.select(*keys, *folders).join(broadcast_if_small(new.select(*keys), stored=True), list(keys), "left_semi")
-    months = same.select(*folders).union(new.select(*folders)).distinct().collect()
-    new_marked = new.withColumn("_new", F.lit(1))
-    touched = table.where(in_partitions(months, folders)).withColumn("_new", F.lit(0))
-    merged = latest_per_key(touched.unionByName(new_marked), keys, [*order, "_new"]).drop("_new")
-    # Stored, as the folders that it is made of are the ones that are written.
-    merged = computed_once(merged)
-    write_lake(merged, path, "replace", folders, sort_by=sort_by)
-    left = {tuple(row) for row in merged.select(*folders).distinct().collect()}
-    for row in months:
-        if tuple(row) not in left:
-            names = (f"{name}={'__HIVE_DEFAULT_PARTITION__' if row[name] is None else row[name]}" for name in folders)
-            remove_folder(spark, "/".join([path.rstrip("/"), *names]))
-    return None if observe is None else new.agg(observe.cast("string")).first()[0]
+    with written_once(df.select(*schema.fieldNames())) as rows:
+        new = latest_located(rows, keys, order)
+        table = read_lake(spark, path, schema)
+        same = table.select(*keys, *folders).join(broadcast_if_small(new.select(*keys), stored=True), list(keys), "left_semi")
+        months = same.select(*folders).union(new.select(*folders)).distinct().collect()
+        if months:
+            touched = located(spark.read.schema(schema).parquet(path)).where(in_partitions(months, folders))
+            both = touched.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+            merged = latest_located(both, keys, [*order, "_new"]).drop("_new", *WHERE)
+            left = {tuple(row) for row in merged.select(*folders).distinct().collect()}
+            if can_digest(schema):
+                changed = differing_groups(merged, touched.drop(*WHERE), folders).collect()
+                merged = merged.where(in_partitions(changed, folders))
+            # Spark writes beside the folders that it replaces, and moves the new files there after all rows are read.
+            write_lake(merged, path, "replace", folders, sort_by=sort_by)
+            for row in months:
+                if tuple(row) not in left:
+                    names = (f"{name}={'__HIVE_DEFAULT_PARTITION__' if row[name] is None else row[name]}" for name in folders)
+                    remove_folder(spark, "/".join([path.rstrip("/"), *names]))
+        return None if observe is None else new.agg(observe.cast("string")).first()[0]
 
 
 def compact_lake(

@@ -13,9 +13,11 @@ from larder.operators import recipes
 from larder.operators.merge import latest_per_key
 from larder.plans.recipes import RecipeJob, ingest_recipes, load_apart, load_recipes, run_recipes, stored_recipes
 from larder.schemas import CLEANSED_RECIPE, DIFFICULTY_REPORT
+from larder.sources import latest
 from larder.sources.csv_report import read_csv_report
 from larder.sources.history_table import HistoryTable
 from larder.sources.lake import compact_lake, merge_lake, read_lake, write_lake
+from larder.sources.latest import latest_rows
 from larder.sources.ledger import FileLedger
 from larder.sources.quarantine import good_path, read_quarantined
 from larder.sources.snapshots import expire_snapshots
@@ -346,3 +348,62 @@ def test_lines_put_aside(spark, tmp_path):
     assert [json.loads(line)["name"] for line, reason in aside.items() if reason == "date"] == ["date"]
     load_apart(spark, [str(tmp_path / "in")], path, "append")
     assert len(names(read_lake(spark, good_path(path), CLEANSED_RECIPE))) == 4
+
+
+def wide_rows(spark, ids, at):
+    """Rows of 20 KB that do not compress, four of five with a key of their own, in two months."""
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(320)), lambda i: F.sha2(F.concat_ws("-", "id", i, F.lit(at)), 256)), "")
+    key = F.when(F.col("id") % 5 > 0, F.concat(F.lit("k"), "id"))
+    month = (1 + F.col("id") % 2).cast("int").alias("month")
+    return ids.select(key.alias("k"), F.lit(at).alias("at"), text.alias("v"), F.lit(2020).alias("year"), month)
+
+
+def test_latest_of_wide_rows_moves_no_rows(spark):
+    ids = spark.range(0, 400, 1, 4)
+    both = wide_rows(spark, ids, 1).unionByName(wide_rows(spark, ids.where("id % 3 = 0"), 2)).unionByName(wide_rows(spark, ids.where("id < 50"), 1))
+    expected = sorted(map(tuple, latest_per_key(both, ["k"], ["at"]).select("k", "at", F.xxhash64("v"), "year", "month").collect()), key=str)
+    with latest_rows(both, ["k"], ["at"]) as kept:
+        rows = sorted(map(tuple, kept.select("k", "at", F.xxhash64("v"), "year", "month").collect()), key=str)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert rows == expected and len(rows) == 320 + 80 + 27 + 10
+    assert "Sort" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_latest_of_rows_by_shuffled_places(spark, monkeypatch):
+    """The same rows where the places that stay are too many to broadcast, over files of more rows than one bitmap holds."""
+    df = spark.range(0, 200_000, 1, 2).select(
+        (F.col("id") % 70_000).cast("string").alias("k"), (F.col("id") % 7).cast("int").alias("at"), F.col("id").alias("v")
+    )
+    expected = latest_per_key(df, ["k"], ["at"]).agg(F.count("*"), F.sum("v")).first()
+    for most in (16_384, 0):
+        monkeypatch.setattr(latest, "BITMAPS_BROADCAST", most)
+        with latest_rows(df, ["k"], ["at"]) as kept:
+            assert kept.groupBy("k").count().where("count > 1").isEmpty()
+            assert kept.count() == expected[0] == 70_000
+            best = df.groupBy("k").agg(F.max("at").alias("at"))
+            assert kept.join(best, ["k", "at"]).count() == 70_000
+
+
+def test_merge_of_known_rows_writes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [(f"k{i}", 1, f"v{i}", 2020, 1 + i % 3) for i in range(30)] + [(None, 1, "n", 2020, 3), ("u", 1, None, None, None)]
+    write_lake(spark.createDataFrame(first, ROWS), path, "overwrite")
+    before = lake_files(path)
+    found = merged(spark, path, [row for row in first if row[0]])
+    assert found == sorted(first, key=str) and lake_files(path) == before
+    # One row of one month differs, in NULL against text only.
+    found = merged(spark, path, [("k0", 1, None, 2020, 1), *first[1:30]])
+    assert ("k0", 1, None, 2020, 1) in found and len(found) == len(first)
+    after = lake_files(path)
+    assert {p.split("/")[-2] for p in before if p not in after} == {"month=1"}
+
+
+def test_merge_of_structs(spark, tmp_path):
+    """Columns without a digest are merged as well."""
+    path = str(tmp_path / "t")
+    schema = "k string, at int, v struct<a:int,b:string>, year int, month int"
+    df = spark.createDataFrame([("a", 1, (1, "x"), 2020, 1), ("b", 1, None, 2020, 2)], schema)
+    write_lake(df, path, "overwrite")
+    new = spark.createDataFrame([("a", 2, (2, None), 2020, 3)], schema)
+    merge_lake(new, path, df.schema, ["k"], ["at"])
+    assert sorted((r.k, r.at, r.v, r.month) for r in read_lake(spark, path, df.schema).collect()) == [("a", 2, (2, None), 3), ("b", 1, None, 2)]
